@@ -6,12 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from spanloom.llm import decontamination
+from spanloom.llm.decontamination import op2_decontamination
 from spanloom.llm.secrets import op1_secrets
 from spanloom.llm.toxicity import op7_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
+    "op2_decontamination": op2_decontamination,
     "op7_toxicity": op7_toxicity,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_decontamination": decontamination.ORACLE_SQL,
+}

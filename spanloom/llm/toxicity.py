@@ -30,7 +30,7 @@ BUCKET_BITS = 20
 DIM = 8
 NGRAMS = (4, 6, 8)
 #: Bounds of the training sample: labelled rows, and characters of a text that may be one of them.
-MAX_TRAINING_ROWS = 16_000
+MAX_TRAINING_ROWS = 12_000
 MAX_TRAINING_CHARS = 100_000
 EPOCHS = 8
 #: Hash rows that fewer training texts have are left out of averages; how strongly frequent ones are damped.
@@ -89,7 +89,9 @@ def _bags(texts: Sequence[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
         owner = np.concatenate([x for _, x in pairs] or [np.zeros(0, np.int32)])
         order = np.argsort(owner, kind="stable")
         ends = np.cumsum(np.bincount(owner, minlength=len(some)))
-        bags += [np.unique(part, return_counts=True) for part in np.split(ids[order], ends[:-1])]
+        for part in np.split(ids[order], ends[:-1]):
+            rows, counts = np.unique(part, return_counts=True)
+            bags.append((rows, np.minimum(counts, 255).astype(np.uint8)))
     return bags
 
 
@@ -121,6 +123,9 @@ def train(texts: Sequence[str | None], labels: Sequence[int], seed: int = 7) ->
     for ids, _ in docs:
         seen[ids] += 1
     weight = (seen >= MIN_TEXTS) / (1.0 + COMMON * seen / max(1, len(docs)))
+    for i, (ids, counts) in enumerate(docs):
+        known = weight[ids] > 0
+        docs[i] = ids[known], counts[known]
     table = (rng.standard_normal((size, DIM)) * 0.05).astype(np.float32)
     softmax = (rng.standard_normal((2, DIM)) * 0.3).astype(np.float32)
     bias = np.log(np.bincount(labels, minlength=2) + 1.0)
@@ -132,8 +137,6 @@ def train(texts: Sequence[str | None], labels: Sequence[int], seed: int = 7) ->
             if not len(ids):
                 continue
             share = weight[ids] * counts
-            if not share.any():
-                continue
             share /= share.sum()
             mean = share @ table[ids]
             logits = softmax @ mean + bias
@@ -172,7 +175,9 @@ def fit(docs: DataFrame, labels: DataFrame, keep: Column | None = None) -> Model
     if not rows:
         empty = np.zeros(1 << BUCKET_BITS, np.float32)
         return Model(empty, empty, 0.0)
-    return train([row.text for row in rows], [min(1, max(0, row.toxic)) for row in rows])
+    texts, labels = [row.text for row in rows], [min(1, max(0, row.toxic)) for row in rows]
+    del rows
+    return train(texts, labels)
 
 
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:

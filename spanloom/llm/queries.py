@@ -8,13 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 from spanloom.llm import decontamination
 from spanloom.llm.decontamination import op2_decontamination
+from spanloom.llm.language import op4_language
+from spanloom.llm.materialise import op5_materialise
+from spanloom.llm.pieces import op9_sentencepiece
 from spanloom.llm.secrets import op1_secrets
 from spanloom.llm.toxicity import op7_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_decontamination": op2_decontamination,
+    "op4_language": op4_language,
+    "op5_materialise": op5_materialise,
     "op7_toxicity": op7_toxicity,
+    "op9_sentencepiece": op9_sentencepiece,
 }
 
 ORACLE_SQL: dict[str, str] = {

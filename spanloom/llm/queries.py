@@ -10,6 +10,7 @@ from spanloom.llm import decontamination
 from spanloom.llm.decontamination import op2_decontamination
 from spanloom.llm.language import op4_language
 from spanloom.llm.materialise import op5_materialise
+from spanloom.llm.neardup import op6_near_duplicates
 from spanloom.llm.pieces import op9_sentencepiece
 from spanloom.llm.secrets import op1_secrets
 from spanloom.llm.toxicity import op7_toxicity
@@ -19,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
     "op4_language": op4_language,
     "op5_materialise": op5_materialise,
+    "op6_near_duplicates": op6_near_duplicates,
     "op7_toxicity": op7_toxicity,
     "op9_sentencepiece": op9_sentencepiece,
 }

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from spanloom.llm import decontamination
 from spanloom.llm.decontamination import op2_decontamination
 from spanloom.llm.language import op4_language
+from spanloom.llm.lm import op10_suffix_tree
 from spanloom.llm.materialise import op5_materialise
 from spanloom.llm.neardup import op6_near_duplicates
 from spanloom.llm.pieces import op9_sentencepiece
@@ -23,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_near_duplicates": op6_near_duplicates,
     "op7_toxicity": op7_toxicity,
     "op9_sentencepiece": op9_sentencepiece,
+    "op10_suffix_tree": op10_suffix_tree,
 }
 
 ORACLE_SQL: dict[str, str] = {

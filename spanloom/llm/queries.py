@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from spanloom.llm import decontamination
+from spanloom.llm.ann import op8_multi_index_hashing
 from spanloom.llm.decontamination import op2_decontamination
 from spanloom.llm.language import op4_language
 from spanloom.llm.lm import op10_suffix_tree
@@ -23,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_materialise": op5_materialise,
     "op6_near_duplicates": op6_near_duplicates,
     "op7_toxicity": op7_toxicity,
+    "op8_multi_index_hashing": op8_multi_index_hashing,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_suffix_tree": op10_suffix_tree,
 }

@@ -13,6 +13,7 @@ from spanloom.llm.language import op4_language
 from spanloom.llm.lm import op10_suffix_tree
 from spanloom.llm.materialise import op5_materialise
 from spanloom.llm.neardup import op6_near_duplicates
+from spanloom.llm.pii import op3_pii
 from spanloom.llm.pieces import op9_sentencepiece
 from spanloom.llm.secrets import op1_secrets
 from spanloom.llm.toxicity import op7_toxicity
@@ -20,6 +21,7 @@ from spanloom.llm.toxicity import op7_toxicity
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_decontamination": op2_decontamination,
+    "op3_pii": op3_pii,
     "op4_language": op4_language,
     "op5_materialise": op5_materialise,
     "op6_near_duplicates": op6_near_duplicates,

@@ -180,13 +180,13 @@ def fit(docs: DataFrame, labels: DataFrame, keep: Column | None = None) -> Model
     return train(texts, labels)
 
 
-def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
-    """Adds score double (0 to 1) and predicted int to docs, row by row; columns of those names are replaced.
+def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD, names: tuple[str, str] = ("score", "predicted")) -> DataFrame:
+    """Adds score double (0 to 1) and predicted int, under these names, to docs, row by row; columns of the names are replaced.
 
     A null or empty text has the score of the model's bias. Whole texts are
     read, whatever their length; equal texts have equal scores.
     """
-    kept = [name for name in docs.columns if name.lower() not in ("score", "predicted")]
+    kept = [name for name in docs.columns if name.lower() not in [one.lower() for one in names]]
     base = docs.select(*(F.col(f"`{name}`") for name in kept))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -194,9 +194,9 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
         for batch in batches:
             scores = shared.value.score(batch.column(batch.schema.get_field_index("text")).to_pylist())
             predicted = (scores >= threshold).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores), pa.array(predicted)], [*kept, "score", "predicted"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores), pa.array(predicted)], [*kept, *names])
 
-    schema = T.StructType([*base.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
+    schema = T.StructType([*base.schema.fields, T.StructField(names[0], T.DoubleType()), T.StructField(names[1], T.IntegerType())])
     return common.by_batches(base, work, schema)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanloom import schemas
-from spanloom.operators import gate, rollup
+from spanloom.operators import coverage, gate, registry, rollup
 from spanloom.plans import compiler
 from spanloom.plans import specs as declared
 from spanloom.sources import fixtures, tables
@@ -303,3 +303,128 @@ def metric_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("metric_specs")
 def metric_specs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return declared.dump(spark)
+
+
+def _registry(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The registry after all fixture spans; thresholds the first hex digit of whose key's SHA-256 is at most 7 are on."""
+    state = registry.reconcile(fixtures.spans_from_events(spark, sf_dir), declared.catalog(spark))
+    key = F.concat_ws("/", "scope", *(F.coalesce(F.col(name), F.lit("")) for name in schemas.PATH), "metric_name")
+    state["thresholds"] = state["thresholds"].withColumn("is_active", F.substring(F.sha2(key, 256), 1, 1) <= "7")
+    return state
+
+
+_CATALOG_ROWS = [(spec.metric, spec.lens, spec.predicate.types or ("*",), spec.predicate.applicable_scopes()) for spec in declared.SPECS if spec.threshold]
+_REGISTRY = f"""{SPANS},
+cat AS (SELECT * FROM (VALUES {", ".join(f"('{m}', '{lens}', '{scope}', '{kind}')" for m, lens, types, scopes in _CATALOG_ROWS for scope in scopes for kind in types)}) AS v(metric_name, lens, kind, needs)),
+off AS (SELECT DISTINCT metric_name, lens, kind FROM cat),
+seen AS (
+  SELECT 'solution' AS kind, solution_id AS slug, span_type, ended_at, event_id FROM u UNION ALL SELECT 'endpoint', endpoint, span_type, ended_at, event_id FROM u WHERE endpoint <> ''
+  UNION ALL SELECT 'workflow', workflow_id, span_type, ended_at, event_id FROM u WHERE workflow_id <> '' UNION ALL SELECT 'agent', agent_id, span_type, ended_at, event_id FROM u WHERE agent_id <> ''
+  UNION ALL SELECT 'component', component_id, span_type, ended_at, event_id FROM u WHERE component_id <> ''),
+ent AS (SELECT DISTINCT kind, slug FROM seen),
+obs AS (SELECT kind, slug, span_type, count(*) AS sample_count FROM seen GROUP BY kind, slug, span_type),
+bind AS (SELECT DISTINCT solution_id, endpoint, nullif(workflow_id, '') AS workflow_id, nullif(agent_id, '') AS agent_id, nullif(component_id, '') AS component_id FROM u WHERE endpoint <> ''),
+pth AS (
+  SELECT 'solution' AS scope, slug AS solution_id, NULL AS endpoint, NULL AS workflow_id, NULL AS agent_id, NULL AS component_id FROM ent WHERE kind = 'solution'
+  UNION SELECT 'endpoint', solution_id, endpoint, NULL, NULL, NULL FROM bind UNION SELECT 'workflow', solution_id, endpoint, workflow_id, NULL, NULL FROM bind WHERE workflow_id IS NOT NULL
+  UNION SELECT 'agent', solution_id, endpoint, workflow_id, agent_id, NULL FROM bind WHERE agent_id IS NOT NULL UNION SELECT 'component', solution_id, endpoint, workflow_id, agent_id, component_id FROM bind WHERE component_id IS NOT NULL),
+thr AS (
+  SELECT off.lens AS category, off.metric_name, pth.*, substr(sha256(concat_ws('/', scope, solution_id, coalesce(endpoint, ''), coalesce(workflow_id, ''), coalesce(agent_id, ''), coalesce(component_id, ''), off.metric_name)), 1, 1) <= '7' AS is_active
+  FROM pth JOIN off ON off.kind = pth.scope),
+tgt AS (SELECT scope AS kind, CASE scope WHEN 'solution' THEN solution_id WHEN 'endpoint' THEN endpoint WHEN 'workflow' THEN workflow_id WHEN 'agent' THEN agent_id ELSE component_id END AS slug, metric_name, is_active FROM thr),
+tot AS (SELECT kind, slug, metric_name, count(*) AS total_paths, sum(CASE WHEN is_active THEN 1 ELSE 0 END) AS active_paths FROM tgt GROUP BY kind, slug, metric_name),
+evi AS (SELECT DISTINCT obs.kind, obs.slug, cat.metric_name FROM obs JOIN cat ON cat.kind = obs.kind AND (cat.needs = '*' OR cat.needs = obs.span_type)),
+mat AS (
+  SELECT ent.kind, ent.slug, off.metric_name, off.lens, CAST(coalesce(total_paths, 0) AS BIGINT) AS total_paths, CAST(coalesce(active_paths, 0) AS BIGINT) AS active_paths,
+    CASE WHEN evi.metric_name IS NULL THEN 'dark' WHEN coalesce(active_paths, 0) > 0 THEN 'active' ELSE 'disabled' END AS state
+  FROM ent JOIN off ON off.kind = ent.kind LEFT JOIN evi ON evi.kind = ent.kind AND evi.slug = ent.slug AND evi.metric_name = off.metric_name
+  LEFT JOIN tot ON tot.kind = ent.kind AND tot.slug = ent.slug AND tot.metric_name = off.metric_name),
+els AS (
+  SELECT kind, slug, lens, count(*) AS total_metrics, count(*) FILTER (WHERE state = 'active') AS active_metrics, count(*) FILTER (WHERE state = 'disabled') AS disabled_metrics,
+    count(*) FILTER (WHERE state = 'dark') AS dark_metrics FROM mat GROUP BY kind, slug, lens),
+elz AS (SELECT *, CASE WHEN active_metrics + disabled_metrics = 0 THEN 'dark' WHEN active_metrics > 0 THEN 'active' ELSE 'disabled' END AS lens_state FROM els)"""
+
+
+@register("registry_entities", f"{_REGISTRY} SELECT kind, slug, substr(sha256(kind || ':' || slug), 1, 32) AS id FROM ent")
+def registry_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return coverage.entity_registry(registry.entities(fixtures.spans_from_events(spark, sf_dir)))
+
+
+@register("registry_bindings", f"{_REGISTRY} SELECT * FROM bind")
+def registry_bindings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return registry.bindings(fixtures.spans_from_events(spark, sf_dir))
+
+
+@register("registry_observations", f"{_REGISTRY} SELECT kind AS level, slug, span_type, sample_count FROM obs")
+def registry_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """In two batches, merged."""
+    spans = fixtures.spans_from_events(spark, sf_dir)
+    late = F.col("recorded_at") >= F.lit("2024-01-15").cast("timestamp")
+    merged = registry.merge_observations(registry.observations(spans.where(~late)), registry.observations(spans.where(late)))
+    return merged.select("level", "slug", "span_type", "sample_count")
+
+
+@register("registry_thresholds", f"{_REGISTRY} SELECT category, metric_name, scope, solution_id, endpoint, workflow_id, agent_id, component_id, is_active FROM thr")
+def registry_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _registry(spark, sf_dir)["thresholds"].select("category", "metric_name", "scope", *schemas.PATH, "is_active")
+
+
+@register("registry_replay", f"{_REGISTRY} SELECT (SELECT count(*) FROM ent) AS entities, (SELECT count(*) FROM bind) AS bindings, (SELECT count(*) FROM thr) AS thresholds")
+def registry_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch reconciled twice leaves the registry as it was."""
+    spans, catalog = fixtures.spans_from_events(spark, sf_dir), declared.catalog(spark)
+    twice = registry.reconcile(spans, catalog, registry.reconcile(spans, catalog))
+    counts = [twice[name].agg(F.count("*").alias(name)) for name in ("entities", "bindings", "thresholds")]
+    return counts[0].join(F.broadcast(counts[1])).join(F.broadcast(counts[2]))  # a row each
+
+
+@register("active_toggles", f"{_REGISTRY} SELECT scope, solution_id, coalesce(endpoint, '') AS endpoint, coalesce(workflow_id, '') AS workflow_id, coalesce(agent_id, '') AS agent_id, coalesce(component_id, '') AS component_id, metric_name AS metric FROM thr WHERE is_active AND category = 'performance'")
+def active_toggles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gate.active_keys(_registry(spark, sf_dir)["thresholds"], "performance")
+
+
+@register("toggles_by_surrogate", f"{_REGISTRY} SELECT scope, solution_id, coalesce(endpoint, '') AS endpoint, coalesce(workflow_id, '') AS workflow_id, coalesce(agent_id, '') AS agent_id, coalesce(component_id, '') AS component_id, metric_name AS metric FROM thr WHERE is_active AND category = 'cost'")
+def toggles_by_surrogate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toggles of thresholds that hold ids, through joins with the five registries."""
+    state = _registry(spark, sf_dir)
+    keyed = state["thresholds"].select("*", *(F.when(F.col(name).isNotNull(), registry.entity_id(F.lit(kind), F.col(name))).alias(f"{kind}_fk") for kind, name in registry.KINDS.items())).drop(*schemas.PATH)
+    of = lambda kind: state["entities"].where(F.col("kind") == kind)
+    return gate.load_toggles(keyed, of("solution"), of("endpoint"), of("workflow"), of("agent"), of("component"), "cost")
+
+
+def _cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    state = _registry(spark, sf_dir)
+    return coverage.matrix(state["entities"], declared.catalog(spark), state["observations"], state["thresholds"])
+
+
+@register("coverage_matrix", f"{_REGISTRY} SELECT * FROM mat")
+def coverage_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _cells(spark, sf_dir).drop("id")
+
+
+_PCT = "round(100.0 * {a} / nullif({a} + {d}, 0), 1)"
+
+
+@register("coverage_entity_lens_summary", f"{_REGISTRY} SELECT *, CAST({_PCT.format(a='active_metrics', d='disabled_metrics')} AS DOUBLE) AS score_pct FROM elz")
+def coverage_entity_lens_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return coverage.entity_lens_summary(_cells(spark, sf_dir))
+
+
+@register("coverage_entity_summary", f"""{_REGISTRY}, es AS (SELECT kind, slug, CAST(sum(total_metrics) AS BIGINT) AS total_metrics, CAST(sum(active_metrics) AS BIGINT) AS active_metrics, CAST(sum(disabled_metrics) AS BIGINT) AS disabled_metrics,
+  CAST(sum(dark_metrics) AS BIGINT) AS dark_metrics, count(*) AS total_lenses, count(*) FILTER (WHERE lens_state = 'active') AS active_lenses, count(*) FILTER (WHERE lens_state = 'disabled') AS disabled_lenses, count(*) FILTER (WHERE lens_state = 'dark') AS dark_lenses FROM elz GROUP BY kind, slug)
+SELECT *, active_lenses + disabled_lenses AS applicable_lenses, CAST({_PCT.format(a='active_metrics', d='disabled_metrics')} AS DOUBLE) AS metric_coverage_pct, CAST({_PCT.format(a='active_lenses', d='disabled_lenses')} AS DOUBLE) AS lens_coverage_pct FROM es""")
+def coverage_entity_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return coverage.entity_summary(_cells(spark, sf_dir))
+
+
+_CELLS = "count(*) AS total_cells, count(*) FILTER (WHERE state = 'active') AS active_cells, count(*) FILTER (WHERE state = 'disabled') AS disabled_cells, count(*) FILTER (WHERE state = 'dark') AS dark_cells, count(DISTINCT kind || '/' || slug) AS {n}"
+
+
+@register("coverage_fleet_lens_summary", f"{_REGISTRY}, f AS (SELECT lens, {_CELLS.format(n='entities')} FROM mat GROUP BY lens) SELECT *, CAST({_PCT.format(a='active_cells', d='disabled_cells')} AS DOUBLE) AS score_pct FROM f")
+def coverage_fleet_lens_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return coverage.fleet_lens_summary(_cells(spark, sf_dir))
+
+
+@register("coverage_fleet_summary", f"{_REGISTRY}, f AS (SELECT {_CELLS.format(n='total_entities')} FROM mat) SELECT *, CAST({_PCT.format(a='active_cells', d='disabled_cells')} AS DOUBLE) AS overall_pct FROM f")
+def coverage_fleet_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return coverage.fleet_summary(_cells(spark, sf_dir))

@@ -8,11 +8,14 @@ ordered similarity of SIMILARITY or more. Classes are the connected components
 of the links.
 
 A bucket (the nodes of one band key) is never expanded into all its pairs.
-First every member is compared with the bucket's one leader. Then leaders are
-drawn in growing shares of the bucket until every member has been one; a member
-is compared with a leader only while the two are in different components. A
-group of copies collapses after the first round, and no pair that could join
-two components is left out.
+First every member is compared with the bucket's one leader, which collapses
+groups of copies into components. Nodes of buckets that still hold several
+components then meet through a positional prefix filter: in one order of all
+shingles, rarest first, two texts of the required similarity share one of their
+first few shingles, at places that leave room for enough common ones. Only
+pairs of different components are formed, the most frequent component of a
+shingle not being paired with itself, so no link that could join two components
+is left out.
 
 Null texts and texts without a word of letters or digits that equal no other
 text are classes of their own; null and empty texts are never grouped. Repeated
@@ -28,14 +31,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from spanloom.llm import common, ordersketch
 
-#: Leaders of a bucket after the first round, and by what they grow.
-SECOND_LEADERS = 8
-GROWTH = 8
-
-
 def _digest(text: str):
     return F.when(F.length(text) > 0, F.unhex(F.md5(F.col(text).cast("binary"))))
 
@@ -65,21 +64,32 @@ def sketches(docs: DataFrame) -> DataFrame:
     return common.by_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), _digest("text").alias("node"), "text"), work, "doc_id long, node binary, keys array<long>")
 
 
+def _shingled(texts: DataFrame) -> DataFrame:
+    """node, shingles (the hashes of the text's shingles in order, 8 bytes each) of rows (node, text)."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [ordersketch.shingle_hashes(ordersketch.words_of(text)).tobytes() for text in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["node", "shingles"])
+
+    return common.by_batches(texts.select("node", "text"), work, "node binary, shingles binary")
+
+
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) with their similarity."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, words = None, []
+        last, known = None, ordersketch.Shingles(b"")
         for batch in batches:
             found = []
             for b, one, other in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 if b != last:
-                    last, words = b, ordersketch.words_of(other)
-                found.append(ordersketch.aligned(ordersketch.words_of(one), words))
+                    last, known = b, ordersketch.Shingles(other)
+                found.append(ordersketch.aligned(ordersketch.Shingles(one), known))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.float64())], ["a", "b", "similarity"])
 
-    one, other = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-    joined = pairs.join(one, "a").join(other, "b").select("a", "b", "text_a", "text_b")
+    one, other = texts.select(F.col("node").alias("a"), F.col("shingles").alias("of_a")), texts.select(F.col("node").alias("b"), F.col("shingles").alias("of_b"))
+    joined = pairs.join(one, "a").join(other, "b").select("a", "b", "of_a", "of_b")
     return common.by_batches(joined, work, "a binary, b binary, similarity double")
 
 
@@ -108,6 +118,52 @@ def _labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
     return rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
 
+def _tokens(nodes: DataFrame) -> DataFrame:
+    """node, n, token: the n occurrence-labelled shingles of rows (node, shingles)."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [ordersketch.labelled(np.frombuffer(one, np.uint64)).view(np.int64) for one in batch.column(1).to_pylist()]
+            ends = np.zeros(len(found) + 1, np.int32)
+            np.cumsum([len(one) for one in found], out=ends[1:])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(ends, np.concatenate([*found, np.zeros(0, np.int64)]))], ["node", "tokens"])
+
+    listed = common.by_batches(nodes.select("node", "shingles"), work, "node binary, tokens array<long>")
+    return listed.select("node", F.size("tokens").alias("n"), F.explode("tokens").alias("token"))
+
+
+def _ranked(members: DataFrame, texts: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """node, n, token, place: the first shingles, rarest first, of the nodes of buckets with several components."""
+    labelled = _labelled(members.select("key", "node"), labels)
+    mixed = labelled.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least <> most").select("key")
+    nodes = labelled.join(mixed, "key", "left_semi").select("node").distinct()
+    tokens = common.cut(_tokens(nodes.join(texts, "node")))
+    often = tokens.groupBy("token").agg(F.count("*").alias("often")).where("often > 1")
+    place = F.row_number().over(Window.partitionBy("node").orderBy(F.coalesce("often", F.lit(1)), "token"))
+    ranked = tokens.join(often, "token", "left").withColumn("place", place)
+    return common.cut(ranked.where((F.col("place") <= F.col("n") - F.ceil(ordersketch.SIMILARITY * F.col("n") - 1e-9) + 1) & F.col("often").isNotNull()).drop("often"))
+
+
+def _joining(ranked: DataFrame, labels: DataFrame | None, first: bool) -> DataFrame:
+    """Pairs (a, b) of different components that may be similar, by a shingle of their prefixes.
+
+    first: of a shingle's main component only the node that has it earliest is
+    paired; such nodes have the fewest rare shingles, so most of what belongs
+    to the component is linked to it by them.
+    """
+    least = ordersketch.SIMILARITY
+    rows = _labelled(ranked, labels)
+    main = rows.groupBy("token", "label").agg(F.count("*").alias("rows"), F.min(F.struct("place", "node", "n")).alias("best"))
+    main = main.groupBy("token").agg(F.max(F.struct("rows", "label", "best")).alias("main")).select("token", "main.label", "main.best")
+    few = rows.join(main.select("token", F.col("label").alias("main")), "token").where("label <> main")
+    few = few.select("token", F.col("node").alias("x"), F.col("label").alias("of"), F.col("n").alias("m"), F.col("place").alias("at"))
+    others = main.select("token", "label", "best.*") if first else rows
+    overlap = F.ceil(least / (1 + least) * (F.col("n") + F.col("m")) - 1e-9)
+    room = F.least(F.col("n") - F.col("place"), F.col("m") - F.col("at")) + 1
+    met = few.join(others, "token").where((F.col("of") != F.col("label")) & (room >= overlap))
+    return met.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
+
+
 def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The rows (doc_id, node) of docs, and the nodes' classes (node, label, class_id, first: the class's row that stays)."""
     sketched = common.cut(sketches(docs))
@@ -117,37 +173,23 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     members = nodes.select("node", F.explode("keys").alias("key"))
     draw = F.struct(F.xxhash64("node", "key").alias("draw"), "node")
-    buckets = members.groupBy("key").agg(F.min(draw)["node"].alias("leader"), F.count("*").alias("size")).where("size > 1")
+    buckets = members.groupBy("key").agg(F.min(draw)["node"].alias("leader"), F.count("*").alias("size")).where("size > 1").drop("size")
     shared = common.cut(members.join(buckets, "key"))
     wanted = shared.select("node").distinct()
-    texts = common.cut(docs.select(_digest("text").alias("node"), "text").join(wanted, "node", "left_semi").dropDuplicates(["node"]))
+    texts = common.cut(_shingled(docs.select(_digest("text").alias("node"), "text").join(wanted, "node", "left_semi").dropDuplicates(["node"])))
     ordered = lambda pairs: pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     first = ordered(shared.where("node <> leader").select(F.col("node").alias("x"), F.col("leader").alias("y")))
     done = common.cut(_verified(first, texts))
     links = done.where(F.col("similarity") >= ordersketch.SIMILARITY).select("a", "b")
     labels = components(links) if links.limit(1).count() else None
 
-    # From here on only buckets that hold several components.
-    share = F.pmod(F.xxhash64("node", "key", F.lit(1)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    rest = shared.where("node <> leader").withColumn("at", share * F.col("size")).select("key", "node", "at", "size")
-    low, high = 0.0, float(SECOND_LEADERS)
-    while True:
-        rest = common.cut(_labelled(rest.drop("label"), labels))
-        spread = rest.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most"), F.max("size").alias("most_rows"))
-        spread = common.cut(spread.where((F.col("least") < F.col("most")) & (F.col("most_rows") > low)).select("key"))
-        if not spread.limit(1).count():
-            break
-        rest = common.cut(rest.join(spread, "key", "left_semi"))
-        leaders = rest.where((F.col("at") >= low) & (F.col("at") < high)).select("key", F.col("node").alias("x"), F.col("label").alias("of"), F.col("at").alias("first"))
-        others = rest.where(F.col("at") >= low).select("key", F.col("node").alias("y"), "label", "at")
-        met = leaders.join(others, "key").where((F.col("of") != F.col("label")) & ((F.col("at") >= high) | (F.col("x") < F.col("y"))))
-        new = common.cut(_verified(ordered(met).join(done, ["a", "b"], "left_anti"), texts))
+    ranked = _ranked(shared, texts, labels)
+    for earliest in (True, False):
+        new = common.cut(_verified(_joining(ranked, labels, earliest).join(done, ["a", "b"], "left_anti"), texts))
         more = new.where(F.col("similarity") >= ordersketch.SIMILARITY).select("a", "b")
         if more.limit(1).count():
-            links = links.union(more)
+            links, done = links.union(more), done.union(new)
             labels = components(links)
-        done = done.union(new)
-        low, high = high, high * GROWTH
     named = _labelled(nodes.select("node", "doc_id"), labels)
     best = named.groupBy("label").agg(F.min("doc_id").alias("class_id"), F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "node")).alias("first"))
     return sketched.select("doc_id", "node"), named.select("node", "label").join(best, "label")

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import hashlib
 import re
+from collections import Counter
 from collections.abc import Sequence
 
 import numpy as np
@@ -91,31 +91,47 @@ def band_keys(words: Sequence[str], bands: int = BANDS, components: int = COMPON
     return keys.view(np.int64)
 
 
-def aligned(a: Sequence[str], b: Sequence[str], least: float = SIMILARITY) -> float:
+class Shingles:
+    """A text's shingle hashes in order, as a list and as a bag."""
+
+    def __init__(self, stored: bytes) -> None:
+        self.items: list[int] = np.frombuffer(stored, np.uint64).tolist()
+        self.kinds = set(self.items)
+        self.counts = None if len(self.kinds) == len(self.items) else Counter(self.items)
+
+    def shared(self, other: Shingles) -> int:
+        """Size of the bags' intersection: no alignment has more in common."""
+        if self.counts is None or other.counts is None:
+            return len(self.kinds & other.kinds)
+        return (self.counts & other.counts).total()
+
+
+def aligned(a: Shingles, b: Shingles, least: float = SIMILARITY) -> float:
     """Ordered similarity of two texts' shingle sequences: common / (|a| + |b| - common), where common is the length of
     the longest common subsequence of shingles.
 
     The alignment is banded: shingles are matched only within as many places
-    as a pair of that similarity can be shifted, so a result under `least` may
-    be smaller than the true value, which is then under `least` as well.
+    as a pair of that similarity can be shifted. So a result under `least` may
+    differ from the true value, which is then under `least` as well.
     """
-    x, y = shingle_hashes(a).tolist(), shingle_hashes(b).tolist()
-    if len(x) > len(y):
-        x, y = y, x
-    if len(x) < least * len(y):
+    if len(a.items) > len(b.items):
+        a, b = b, a
+    n, m = len(a.items), len(b.items)
+    if n < least * m:
         return 0.0
-    n, m = len(x), len(y)
-    head = 0
+    most = a.shared(b)
+    if most < least * (n + m - most):
+        return 0.0
+    x, y, head = a.items, b.items, 0
     while head < n and x[head] == y[head]:
         head += 1
     tail = 0
     while tail < n - head and x[n - 1 - tail] == y[m - 1 - tail]:
         tail += 1
     common = head + tail
-    if head + tail < n:
+    if common < n:
         need = int(np.ceil(least * (n + m) / (1 + least) - 1e-9))
-        band = max(1, n + m - 2 * need)
-        common += _banded(x[head : n - tail], y[head : m - tail], band)
+        common += _banded(x[head : n - tail], y[head : m - tail], max(1, n + m - 2 * need))
     return common / (n + m - common)
 
 
@@ -134,7 +150,3 @@ def _banded(x: list[int], y: list[int], band: int) -> int:
             if u:
                 v = ((v + u) | (v - u)) & full
     return len(x) - v.bit_count()
-
-
-def digest(text: str) -> bytes:
-    return hashlib.md5(text.encode("utf-8", "replace"), usedforsecurity=False).digest()

@@ -35,6 +35,11 @@ from pyspark.sql.window import Window
 
 from spanloom.llm import common, ordersketch
 
+#: Partitions of the frames of links and labels.
+LEAST_PARTS = 8
+ROWS_PER_PART = 500_000
+
+
 def _digest(text: str):
     return F.when(F.length(text) > 0, F.unhex(F.md5(F.col(text).cast("binary"))))
 
@@ -100,15 +105,17 @@ def components(links: DataFrame) -> DataFrame:
     changes; each round is cut to the shared folder.
     """
     both = common.cut(links.select("a", "b").union(links.select("b", "a")).toDF("node", "other").distinct())
-    labels = common.cut(both.groupBy("node").agg(F.min("other").alias("least")).select("node", F.least("node", "least").alias("label")))
+    parts = max(LEAST_PARTS, both.count() // ROWS_PER_PART)
+    both = both.coalesce(parts)
+    labels = common.cut(both.groupBy("node").agg(F.min("other").alias("least")).select("node", F.least("node", "least").alias("label")).coalesce(parts))
     while True:
-        heard = both.join(labels.withColumnRenamed("node", "other"), "other").select("node", "label")
-        near = labels.union(heard).groupBy("node").agg(F.min("label").alias("label"))
+        heard = both.join(labels.withColumnRenamed("node", "other"), "other").select("node", "label", F.lit(None).cast("binary").alias("before"))
+        near = labels.select("node", "label", F.col("label").alias("before")).union(heard).groupBy("node").agg(F.min("label").alias("label"), F.max("before").alias("before"))
         of = labels.select(F.col("node").alias("label"), F.col("label").alias("further"))
-        new = common.cut(near.join(of, "label", "left").select("node", F.least("label", F.coalesce("further", "label")).alias("label")))
-        changed = new.alias("n").join(labels.alias("o"), "node").where("n.label <> o.label").limit(1).count()
-        labels = new
-        if not changed:
+        new = near.join(of, "label", "left").select("node", F.least("label", F.coalesce("further", "label")).alias("label"), "before")
+        new = common.cut(new.coalesce(parts))
+        labels = new.select("node", "label")
+        if not new.where("label <> before").limit(1).count():
             return labels
 
 

@@ -51,8 +51,8 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return common.by_batches(texts, work, "word binary, count long").groupBy("word").agg(F.sum("count").alias("count"))
 
 
-def code_counts(texts: DataFrame) -> DataFrame:
-    """code (suffixtree.codes_of), count of the texts (one column)."""
+def _code_counts(texts: DataFrame) -> DataFrame:
+    """code (suffixtree.codes_of), count of the texts (one column), once or more for each code."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
@@ -73,24 +73,35 @@ def code_counts(texts: DataFrame) -> DataFrame:
         if len(codes):
             yield out()
 
-    return common.by_batches(texts, work, "code long, count long").groupBy("code").agg(F.sum("count").alias("count"))
-
-
-def fit_tree(texts: DataFrame) -> suffixtree.Model:
-    codes = common.cut(code_counts(texts))
-    total = codes.agg(F.sum("count")).first()[0] or 0
-    least = max(LEAST_COUNT, int(LEAST_SHARE * total))
-    level, levels = codes, []
-    for depth in range(suffixtree.DEPTH, -1, -1):
-        if depth < suffixtree.DEPTH:
-            level = level.groupBy(F.col("code").bitwiseAND(F.lit((1 << (8 * (depth + 1))) - 1)).alias("code")).agg(F.sum("count").alias("count"))
-        keyed = level.withColumn("context", F.shiftrightunsigned("code", 8))
-        frequent = keyed.groupBy("context").agg(F.sum("count").alias("n")).where(F.col("n") >= (least if depth else 0)).select("context")
-        levels.append(keyed.join(F.broadcast(frequent), "context", "left_semi").select(F.lit(depth).alias("depth"), "code", "count"))  # at most 1 / LEAST_SHARE contexts
-    gathered = levels[0]
-    for one in levels[1:]:
-        gathered = gathered.union(one)
-    found = gathered.toArrow()
+    return common.by_batches(texts, work, "code long, count long")
+
+
+def fit_tree(texts: DataFrame, size: int) -> suffixtree.Model:
+    """The tree of texts (one column) of about that many bytes.
+
+    Codes are dealt by their context's last two bytes, so one shuffle brings
+    together all that longer contexts need; what is left of shorter ones is
+    summed afterwards.
+    """
+    least = max(LEAST_COUNT, int(LEAST_SHARE * size))
+    dealt = _code_counts(texts).repartition(F.shiftrightunsigned("code", 8).bitwiseAND(F.lit(0xFFFF)))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [suffixtree.counted(batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy()) for batch in batches]
+        if not held:
+            return
+        codes, counts = suffixtree.counted(np.concatenate([a for a, _ in held]), np.concatenate([b for _, b in held]))
+        del held
+        for depth in range(suffixtree.DEPTH, -1, -1):
+            codes, counts = suffixtree.counted(codes & np.uint64((1 << (8 * (depth + 1))) - 1), counts)
+            if depth >= 2:
+                group = np.cumsum(np.concatenate([[0], np.diff(codes >> np.uint64(8)) > 0]))
+                live = np.bincount(group, counts)[group] >= least
+            else:
+                live = np.ones(len(codes), bool)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(live.sum(), depth, np.int32)), pa.array(codes[live].view(np.int64)), pa.array(counts[live])], ["depth", "code", "count"])
+
+    found = common.by_batches(dealt, work, "depth int, code long, count long").groupBy("depth", "code").agg(F.sum("count").alias("count")).toArrow()
     depths, code, count = (found.column(name).to_numpy() for name in ("depth", "code", "count"))
     return suffixtree.grow([(code[depths == depth].view(np.uint64), count[depths == depth]) for depth in range(suffixtree.DEPTH + 1)])
 
@@ -118,10 +129,10 @@ def score(docs: DataFrame, training: Column) -> DataFrame:
     """
     learnt = docs.where(training)
     counts = common.cut(word_counts(learnt.select("text")))
-    ends = learnt.count()
+    ends, size = learnt.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     row = counts.agg(F.sum("count").alias("n"), F.count("*").alias("v")).first()
     total, distinct = (row["n"] or 0) + ends, row["v"] + (ends > 0)
-    tree = fit_tree(learnt.select("text"))
+    tree = fit_tree(learnt.select("text"), size)
     head = {word: np.log10(count + 1) for word, count in _head(counts).items()}
     shared = docs.sparkSession.sparkContext.broadcast((head, tree))
     end_log = float(np.log10(ends + 1))

@@ -25,7 +25,7 @@ LEAST_GAIN = 12.0
 _SYMBOLS = 256
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
-_CACHE_BITS = 20
+_CACHE_BITS = 21
 
 
 def tokens_of(text: str | None) -> list[bytes]:

@@ -39,7 +39,11 @@ RECALL = 0.98
 SAMPLE = 20_000
 PROBES = 400
 ROWS_PER_BLOCK = 4096
-QUERIES_PER_BLOCK = 1024
+QUERIES_PER_BLOCK = 8192
+#: Queries of a block that are searched at once.
+_AT_ONCE = 512
+#: Rows beyond the wanted ones whose inner products are computed exactly before they are ranked.
+_SPARE = 12
 NEIGHBOURS = 20
 
 _WIDTH = BITS // SUBSTRINGS
@@ -115,31 +119,30 @@ class Index:
             own = spare // SUBSTRINGS + (k < spare % SUBSTRINGS)
             near = np.bitwise_count(parts[:, k][:, None] ^ values[None, :]) <= own
             found |= near[:, rows]
-        query, row = np.nonzero(found)
-        far = np.bitwise_count(asked[query] ^ self.codes[row]) > radius
-        found[query[far], row[far]] = False
+        found &= np.bitwise_count(asked[:, None] ^ self.codes[None, :]) <= radius
         return found
 
 
 def search_block(codes: Codes, vectors: np.ndarray, ids: list[list[int]], queries: np.ndarray, wanted: int) -> Iterator[tuple[int, int, float]]:
     """(query's number, id, inner product) of the best `wanted` rows of a block for each query; ids: of each vector."""
-    index, asked = Index(codes.of(vectors, True)), codes.of(queries, False)
-    found = index.within(asked, codes.radius)
-    enough = min(wanted, len(vectors))
-    few, radius = np.flatnonzero(found.sum(axis=1) < enough), codes.radius
-    while len(few):
-        radius = min(BITS, radius + 4)
-        found[few] = index.within(asked[few], radius)
-        few = few[found[few].sum(axis=1) < enough]
-    for number, query in enumerate(queries):
-        rows = np.flatnonzero(found[number])
-        scores = (vectors[rows] * query).sum(axis=1)
-        if len(rows) > wanted:
-            least = np.partition(scores, len(scores) - wanted)[len(scores) - wanted]
-            rows, scores = rows[scores >= least], scores[scores >= least]
-        best = sorted((-score, one) for row, score in zip(rows, scores) for one in ids[row])[:wanted]
-        for score, one in best:
-            yield number, one, -score
+    index, enough = Index(codes.of(vectors, True)), min(wanted, len(vectors))
+    for first in range(0, len(queries), _AT_ONCE):
+        points = queries[first : first + _AT_ONCE]
+        asked = codes.of(points, False)
+        found, radius = index.within(asked, codes.radius), codes.radius
+        few = np.flatnonzero(found.sum(axis=1) < enough)
+        while len(few):
+            radius = min(BITS, radius + 4)
+            found[few] = index.within(asked[few], radius)
+            few = few[found[few].sum(axis=1) < enough]
+        rough = np.where(found, points @ vectors.T, -np.inf)
+        taken = min(len(vectors), wanted + _SPARE)
+        best = np.argpartition(rough, len(vectors) - taken, axis=1)[:, len(vectors) - taken :]
+        for number, query in enumerate(points):
+            rows = best[number][found[number, best[number]]]
+            scores = (vectors[rows] * query).sum(axis=1)
+            for score, one in sorted((-score, one) for row, score in zip(rows, scores) for one in ids[row])[:wanted]:
+                yield first + number, one, -score
 
 
 def _usable(embeddings: DataFrame) -> DataFrame:
@@ -153,6 +156,11 @@ def _usable(embeddings: DataFrame) -> DataFrame:
     return rows.where(F.size("vector") == (most or 0))
 
 
+def _matrix(table: pa.Table) -> np.ndarray:
+    vectors = table.column("vector").combine_chunks()
+    return vectors.flatten().to_numpy(zero_copy_only=False).reshape(len(vectors), -1)
+
+
 def nearest(embeddings: DataFrame, every: int = 20, neighbours: int = NEIGHBOURS) -> DataFrame:
     """query_id, rank, vec_id, score: for the rows whose vec_id is divisible by `every`, their nearest other rows."""
     spark = embeddings.sparkSession
@@ -162,11 +170,11 @@ def nearest(embeddings: DataFrame, every: int = 20, neighbours: int = NEIGHBOURS
     smallest = rows.withColumn("at", F.row_number().over(by_vector)).where(F.col("at") <= wanted)
     stored = common.cut(smallest.groupBy("vector").agg(F.array_sort(F.collect_list("vec_id")).alias("ids")))  # at most `wanted` ids
     asking = rows.where(F.col("vec_id") % every == 0)
-    asked = common.cut(asking.select("vector").distinct())
+    asked = common.cut(asking.groupBy("vector").agg(F.min("vec_id").alias("asker")))
     n, q = stored.count(), asked.count()
-    drawn = stored.select("vector").orderBy(F.xxhash64("vector"), "vector").limit(SAMPLE).toArrow().column("vector").to_pylist()
+    drawn = stored.select("vector").orderBy(F.xxhash64("vector"), "vector").limit(SAMPLE).toArrow()
     norm = stored.agg(F.max(F.sqrt(F.aggregate("vector", F.lit(0.0), lambda total, x: total + x * x)))).first()[0] or 0.0
-    codes = spark.sparkContext.broadcast(learn(np.array(drawn), norm, neighbours) if len(drawn) > 1 else None)
+    codes = spark.sparkContext.broadcast(learn(_matrix(drawn), norm, neighbours) if drawn.num_rows > 1 else None)
     blocks, groups = max(1, -(-n // ROWS_PER_BLOCK)), max(1, -(-q // QUERIES_PER_BLOCK))
     dealt = lambda frame, own, count, other, times: frame.withColumn(own, F.pmod(F.xxhash64("vector"), F.lit(count).cast("long"))).withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(times - 1).cast("long"))))
     left, right = dealt(stored, "block", blocks, "part", groups), dealt(asked, "part", groups, "block", blocks)
@@ -174,19 +182,18 @@ def nearest(embeddings: DataFrame, every: int = 20, neighbours: int = NEIGHBOURS
     def work(key: tuple, held: pa.Table, queries: pa.Table) -> pa.Table:
         out: list[tuple] = []
         if held.num_rows and queries.num_rows:
-            vectors, points = np.array(held.column("vector").to_pylist()), np.array(queries.column("vector").to_pylist())
+            vectors = _matrix(held)
             model = codes.value or Codes(np.zeros(vectors.shape[1] + 1), np.ones((vectors.shape[1] + 1, BITS)), float(np.linalg.norm(vectors)))
-            out = list(search_block(model, vectors, held.column("ids").to_pylist(), points, wanted))
-            vector = queries.column("vector").combine_chunks().take(pa.array([number for number, _, _ in out], pa.int64()))
-        else:
-            vector = pa.array([], pa.list_(pa.float64()))
-        return pa.table({"vector": vector, "vec_id": pa.array([one for _, one, _ in out], pa.int64()), "score": pa.array([score for *_, score in out], pa.float64())})
+            out = list(search_block(model, vectors, held.column("ids").to_pylist(), _matrix(queries), wanted))
+        asker = queries.column("asker").to_numpy()[np.array([number for number, _, _ in out], np.int64)]
+        return pa.table({"asker": asker, "vec_id": pa.array([one for _, one, _ in out], pa.int64()), "score": pa.array([score for *_, score in out], pa.float64())})
 
     common.ship(spark)
-    found = left.groupBy("block", "part").cogroup(right.groupBy("block", "part")).applyInArrow(work, "vector array<double>, vec_id long, score double")
-    best = Window.partitionBy("vector").orderBy(F.desc("score"), "vec_id")
+    found = left.groupBy("block", "part").cogroup(right.groupBy("block", "part")).applyInArrow(work, "asker long, vec_id long, score double")
+    best = Window.partitionBy("asker").orderBy(F.desc("score"), "vec_id")
     merged = found.withColumn("at", F.row_number().over(best)).where(F.col("at") <= wanted).drop("at")
-    pairs = asking.withColumnRenamed("vec_id", "query_id").join(merged, "vector").where("query_id <> vec_id")
+    askers = asking.withColumnRenamed("vec_id", "query_id").join(asked, "vector").select("query_id", "asker")
+    pairs = askers.join(merged, "asker").where("query_id <> vec_id")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return pairs.withColumn("rank", rank).where(F.col("rank") <= neighbours).select("query_id", "rank", "vec_id", "score")
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanloom import schemas
-from spanloom.operators import coverage, gate, registry, rollup
+from spanloom.operators import coverage, evaluation, gate, quality, registry, rollup, safety
 from spanloom.plans import compiler
 from spanloom.plans import specs as declared
 from spanloom.sources import fixtures, tables
@@ -428,3 +428,97 @@ def coverage_fleet_lens_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("coverage_fleet_summary", f"{_REGISTRY}, f AS (SELECT {_CELLS.format(n='total_entities')} FROM mat) SELECT *, CAST({_PCT.format(a='active_cells', d='disabled_cells')} AS DOUBLE) AS overall_pct FROM f")
 def coverage_fleet_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coverage.fleet_summary(_cells(spark, sf_dir))
+
+
+_MECHANICAL = ("format_correctness", "schema_conformance", "tool_call_validity", "data_completeness", "data_accuracy", "constraint_satisfaction")
+
+
+@register("quality_mechanical", f"""{SPANS}
+SELECT span_id, scope, 'tool_call_validity' AS metric, CAST(CASE WHEN ok_md AND k % 3 > 0 AND (k % 5 > 0 OR span_status <> 'ok') THEN 1 ELSE 0 END AS DOUBLE) AS value FROM u WHERE {_IN("tool_call")}
+UNION ALL SELECT span_id, scope, 'format_correctness', CAST(1 AS DOUBLE) FROM u WHERE ok_md AND ({_IN("model_call", "validation")} OR ({_IN("tool_call")} AND k % 5 > 0))
+UNION ALL SELECT span_id, scope, 'schema_conformance', CAST(k % 2 AS DOUBLE) FROM u WHERE ok_md AND {_IN("validation")}
+UNION ALL SELECT span_id, scope, 'data_completeness', CAST(round(least(1.0, k / 100.0), 4) AS DOUBLE) FROM u WHERE ok_md AND {_IN("skill_exec")}""")
+def quality_mechanical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    context = quality.with_mechanical(compiler.spans_of_lens(fixtures.spans_from_events(spark, sf_dir), "quality"))
+    rows = compiler.emit(context, [spec for spec in declared.of_lens("quality") if spec.metric in _MECHANICAL])
+    return rows.select("span_id", "scope", "metric", "value")
+
+
+_TURNS = """WITH a AS (SELECT c.conv_id, c.turn, c.text, (SELECT max(p.turn) FROM conversations p WHERE p.conv_id = c.conv_id AND p.role = 'user' AND p.turn < c.turn) AS asked,
+  (SELECT count(*) FROM conversations p WHERE p.conv_id = c.conv_id AND p.role = 'user') AS n_users FROM conversations c WHERE c.role = 'assistant')"""
+
+
+@register("quality_semantic", f"""{_TURNS}
+SELECT 'call-' || conv_id || '-' || turn AS span_id, m.metric, CAST(0.75 AS DOUBLE) AS value FROM a, (VALUES ('faithfulness'), ('coherence'), ('completeness')) AS m(metric) WHERE trim(text) <> ''
+UNION ALL SELECT 'find-' || conv_id || '-' || turn, m.metric, CAST(0.75 AS DOUBLE) FROM a, (VALUES ('context_relevance'), ('chunk_utilization')) AS m(metric) WHERE asked IS NOT NULL AND n_users > 1""")
+def quality_semantic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With the static scorer: which spans get which semantic metric."""
+    context = quality.with_semantic(fixtures.spans_from_conversations(spark, sf_dir), quality.StaticScorer())
+    rows = compiler.emit(context, [spec for spec in declared.of_lens("quality") if spec.metric not in _MECHANICAL])
+    return rows.select("span_id", "metric", "value")
+
+
+@register("answers_by_trace", "SELECT 'conv-' || conv_id AS trace_id, trim(string_agg(text, chr(10) ORDER BY turn)) AS answer FROM conversations WHERE role = 'assistant' AND trim(text) <> '' GROUP BY conv_id")
+def answers_by_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.answers_by_trace(fixtures.spans_from_conversations(spark, sf_dir))
+
+
+@register("split_sentences")
+def split_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fixtures.table(spark, sf_dir, "documents").select("doc_id", quality.split_sentences("text").alias("sentences"))
+
+
+_STUB = safety.KeywordClassifier({"ignore": 0.4, "override": 0.9}, {"idiot": 0.9, "moron": 0.9, "scum": 0.9, "trash": 0.5})
+
+
+@register("safety_documents")
+def safety_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The safety lens over documents, with the keyword classifier."""
+    context = safety.with_safety(fixtures.spans_from_documents(spark, sf_dir), classifier=_STUB)
+    return compiler.emit(context, declared.of_lens("safety")).select("span_id", "metric", "value", "metric_meta")
+
+
+@register("safety_harmful", r"""SELECT 'doc-' || doc_id AS span_id, CAST(CASE WHEN regexp_matches(text, '(?i)\b(idiot|moron|scum)\b') THEN 1 ELSE 0 END AS DOUBLE) AS value FROM documents""")
+def safety_harmful(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = fixtures.table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = safety.classify(texts, _STUB)
+    return found.select(F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("span_id"), F.when(F.col("harmful_score") >= safety.HARMFUL_THRESHOLD, 1.0).otherwise(0.0).alias("value"))
+
+
+def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fixtures.table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"), ((F.col("doc_id") * 7919 % 997 + F.col("toxic") * 300) / 1300.0).alias("score"))
+    return rows
+
+
+_JUDGED = "WITH j AS (SELECT doc_id, toxic AS label, (doc_id * 7919 % 997 + toxic * 300) / 1300.0 AS score FROM labels)"
+
+
+@register("eval_at_threshold", f"""{_JUDGED}, c AS (SELECT count(*) FILTER (WHERE score >= 0.5 AND label = 1) AS tp, count(*) FILTER (WHERE score >= 0.5 AND label <> 1) AS fp,
+  count(*) FILTER (WHERE score < 0.5 AND label = 1) AS fn, count(*) FILTER (WHERE score < 0.5 AND label <> 1) AS tn FROM j)
+SELECT *, round(CAST(tp AS DOUBLE) / (tp + fp), 9) AS precision, round(CAST(tp AS DOUBLE) / (tp + fn), 9) AS recall, round(2.0 * tp / (2 * tp + fp + fn), 9) AS f1 FROM c""")
+def eval_at_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = evaluation.at_threshold(_judged(spark, sf_dir), 0.5)
+    return found.select("tp", "fp", "fn", "tn", *(F.round(name, 9).alias(name) for name in ("precision", "recall", "f1")))
+
+
+@register("eval_auroc", f"{_JUDGED} SELECT round(sum(CASE WHEN p.score > n.score THEN 1.0 WHEN p.score = n.score THEN 0.5 ELSE 0.0 END) / count(*), 9) AS auroc FROM j p, j n WHERE p.label = 1 AND n.label <> 1")
+def eval_auroc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return evaluation.auroc(_judged(spark, sf_dir)).select(F.round("auroc", 9).alias("auroc"))
+
+
+@register("eval_auprc")
+def eval_auprc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return evaluation.auprc(_judged(spark, sf_dir))
+
+
+@register("eval_best_threshold", f"""{_JUDGED}, g AS (SELECT unnest(range(0, 101)) AS step), s AS (SELECT step, sum(CASE WHEN floor(score * 100 + 1e-9) >= step AND label = 1 THEN 1 ELSE 0 END) AS tp, sum(CASE WHEN floor(score * 100 + 1e-9) >= step AND label <> 1 THEN 1 ELSE 0 END) AS fp,
+  sum(CASE WHEN floor(score * 100 + 1e-9) < step AND label = 1 THEN 1 ELSE 0 END) AS fn FROM g, j GROUP BY step)
+SELECT step / 100.0 AS threshold, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp, CAST(fn AS BIGINT) AS fn, round(2.0 * tp / (2 * tp + fp + fn), 9) AS f1 FROM s ORDER BY 2.0 * tp / (2 * tp + fp + fn) DESC, step LIMIT 1""")
+def eval_best_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = evaluation.best_threshold(_judged(spark, sf_dir))
+    return found.select("threshold", "tp", "fp", "fn", F.round("f1", 9).alias("f1"))
+
+
+@register("eval_spearman", "WITH r AS (SELECT rank() OVER (ORDER BY n_chars) + (count(*) OVER (PARTITION BY n_chars) - 1) / 2.0 AS a, rank() OVER (ORDER BY doc_id) AS b FROM documents) SELECT round(corr(a, b), 9) AS spearman FROM r")
+def eval_spearman(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return evaluation.spearman(fixtures.table(spark, sf_dir, "documents"), "n_chars", "doc_id").select(F.round("spearman", 9).alias("spearman"))

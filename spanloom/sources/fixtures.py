@@ -64,3 +64,38 @@ def spans_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "recorded_at": F.date_trunc("millisecond", "ended_at"),
     }
     return rows.select(*(values[field.name].cast(field.dataType).alias(field.name) for field in schemas.RAW_SPANS))
+
+
+def spans_from_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A model call for each assistant turn, and a retrieval before it: its query is the last user turn, its chunks are the others."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    users = turns.where("role = 'user'").groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "text"))).alias("users"))  # a conversation's turns
+    rows = turns.where("role = 'assistant'").join(users, "conv_id", "left")
+    before = F.filter("users", lambda u: u["turn"] < F.col("turn"))
+    asked = F.when(F.size(before) > 0, F.element_at(before, -1))
+    rows = rows.withColumn("asked", asked)
+    others = F.transform(F.filter("users", lambda u: u["turn"] != F.col("asked.turn")), lambda u: F.struct(u["text"].alias("text")))
+    at = F.timestamp_micros(F.lit(1704067200000000) + (F.col("conv_id") * 1000 + F.col("turn")) * 1000000)
+    base = {field.name: F.lit("") if field.dataType.simpleString() == "string" else F.lit(None).cast(field.dataType) for field in schemas.RAW_SPANS}
+    shared = base | {
+        "trace_id": F.concat(F.lit("conv-"), F.col("conv_id").cast("string")), "span_status": F.lit("ok"), "scope": F.lit("component"), "solution_id": F.lit("sol_0"),
+        "component_type": F.lit("model"), "started_at": at, "ended_at": F.timestamp_micros(F.unix_micros(at) + 250000), "environment": F.lit("prod"), "recorded_at": F.timestamp_micros(F.unix_micros(at) + 250000),
+    }
+    name = lambda prefix: F.concat(F.lit(prefix), F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string"))
+    call = shared | {"span_id": name("call-"), "span_type": F.lit("model_call"), "component_id": F.lit("model_gpt4o"), "metadata": F.to_json(F.struct(F.col("asked.text").alias("input"), F.col("text").alias("output")))}
+    find = shared | {"span_id": name("find-"), "span_type": F.lit("retrieval"), "component_id": F.lit("kb_product_docs"), "metadata": F.to_json(F.struct(F.col("asked.text").alias("query"), others.alias("chunks")))}
+    pick = lambda values: rows.select(*(values[field.name].cast(field.dataType).alias(field.name) for field in schemas.RAW_SPANS))
+    return pick(call).union(pick(find))
+
+
+def spans_from_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A model call for each document, whose text is the input."""
+    rows = table(spark, sf_dir, "documents").select("doc_id", "text")
+    at = F.timestamp_micros(F.lit(1704067200000000) + F.col("doc_id") * 1000)
+    base = {field.name: F.lit("") if field.dataType.simpleString() == "string" else F.lit(None).cast(field.dataType) for field in schemas.RAW_SPANS}
+    values = base | {
+        "trace_id": F.concat(F.lit("doc-"), F.col("doc_id").cast("string")), "span_id": F.concat(F.lit("doc-"), F.col("doc_id").cast("string")), "span_type": F.lit("model_call"), "span_status": F.lit("ok"),
+        "scope": F.lit("component"), "solution_id": F.lit("sol_0"), "component_id": F.lit("model_gpt4o"), "component_type": F.lit("model"), "started_at": at, "ended_at": at, "environment": F.lit("prod"), "recorded_at": at,
+        "metadata": F.to_json(F.struct(F.col("text").alias("input"))),
+    }
+    return rows.select(*(values[field.name].cast(field.dataType).alias(field.name) for field in schemas.RAW_SPANS))

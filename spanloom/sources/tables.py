@@ -34,7 +34,9 @@ def _typed(rows: DataFrame, schema: T.StructType) -> DataFrame:
         column = F.col(field.name)
         if isinstance(field.dataType, T.TimestampType):
             column = F.coalesce(*(F.try_to_timestamp(column, F.lit(form)) for form in ("yyyy-MM-dd HH:mm:ss.SSS", "yyyy-MM-dd HH:mm:ss")))
-        elif not isinstance(field.dataType, T.StringType):
+        elif isinstance(field.dataType, T.StringType):
+            column = F.coalesce(column, F.lit(""))
+        else:
             column = F.when(column.isin("", r"\N"), None).otherwise(column).try_cast(field.dataType)
         columns.append(column.alias(field.name))
     return rows.select(*columns)

@@ -25,7 +25,7 @@ LEAST_GAIN = 12.0
 _SYMBOLS = 256
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
-_CACHE_BITS = 21
+_CACHE_BITS = 22
 
 
 def tokens_of(text: str | None) -> list[bytes]:
@@ -117,13 +117,19 @@ class Model:
         if self._tables is None:
             self._tables = _Table(self.seen_keys, self.seen_logs), _Table(self.state_keys, self.state_logs)
         seen, states = self._tables
-        logs, left, spared = np.full(len(codes), -np.log(_SYMBOLS), np.float64), np.arange(len(codes)), np.zeros(len(codes))
+        logs, spared = np.full(len(codes), -np.log(_SYMBOLS)), np.zeros(len(codes))
+        left, asked = np.zeros(0, np.int64), np.arange(len(codes))  # those whose longest state is found, and the others
         for depth in range(self.depth, -1, -1):
-            values, found = seen.get(_tagged(codes[left], depth + 1))
+            values, live = states.get(_tagged(codes[asked] >> np.uint64(8), depth) | np.uint64(1 << 63))
+            further, _ = states.get(_tagged(codes[left] >> np.uint64(8), depth) | np.uint64(1 << 63))
+            left = np.concatenate([left, asked[live]])
+            rest = np.concatenate([further, values[live]])
+            asked = asked[~live]
+            seen_logs, found = seen.get(_tagged(codes[left], depth + 1))
             at = left[found]
-            logs[at] = values[found] + spared[at]
-            left = left[~found]
-            spared[left] += states.get(_tagged(codes[left] >> np.uint64(8), depth) | np.uint64(1 << 63))[0]
+            logs[at] = seen_logs[found] + spared[at]
+            left, rest = left[~found], rest[~found]
+            spared[left] += rest
         logs[left] += spared[left]
         return logs
 

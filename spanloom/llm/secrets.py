@@ -67,7 +67,7 @@ def entropy_spans(candidate: str, classes: tuple[EntropyClass, ...] = CLASSES, a
     found: list[tuple[int, int]] = []
     for kind in classes:
         limit = kind.window * (math.log2(kind.window) - kind.bits)
-        cost = [0.0] + [n * math.log2(n) for n in range(1, kind.window + 1)]
+        cost = [0.0] + [n * math.log2(n) for n in range(1, kind.window + 2)]
         for run in kind.pattern.finditer(candidate):
             text, first = run.group(), run.start()
             counts: dict[str, int] = {}

@@ -217,10 +217,10 @@ def model(spark: SparkSession, seed: int = 17) -> tuple[boosting.Trees, dict[str
     return _model(seed, spark)
 
 
-def scan(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The columns in keep (default: all of docs) and pii_spans: array of (order of the kind, start, end, kind, base)."""
+def scan(docs: DataFrame, text: str = "text", keep: list[str] | None = None, out: str = "pii_spans") -> DataFrame:
+    """The columns in keep (default: all of docs) and, under the name out, spans: array of (order of the kind, start, end, kind, base, p)."""
     trees, limits = model(docs.sparkSession)
-    kept = [name for name in (docs.columns if keep is None else keep) if name.lower() != "pii_spans"]
+    kept = [name for name in (docs.columns if keep is None else keep) if name.lower() != out.lower()]
     base = docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*(F.col(f"`{name}`") for name in kept)).alias("kept"), F.col(f"`{text}`").alias("text"))
     rows = _placed(_matches(base, "text", ["row", "kept"]), "row")
     loose = F.col("kind").isNotNull() & ~F.col("base")
@@ -238,15 +238,16 @@ def scan(docs: DataFrame, text: str = "text", keep: list[str] | None = None) ->
     parts = spans.select("kept", sure.alias("sure"), other.alias("other"))
     added = F.filter("other", lambda s: ~F.exists("sure", lambda t: touch(s, t)) & ~F.exists("other", lambda t: touch(s, t) & better(t, s)))
     every = F.when(F.size("other") > 0, F.array_sort(F.concat("sure", added))).otherwise(F.col("sure"))
-    return parts.select("kept.*", every.alias("pii_spans"))
+    return parts.select("kept.*", every.alias(out))
 
 
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     """docs with every span's characters replaced by asterisks; null texts stay null."""
-    found = scan(docs, text)
+    spans = common.fresh_name(docs, "spans")
+    found = scan(docs, text, out=spans)
     column = F.col(f"`{text}`")
-    blot = F.aggregate("pii_spans", column, lambda acc, s: F.concat(F.substring(acc, F.lit(1), s["start"]), F.repeat(F.lit("*"), s["end"] - s["start"]), F.substring(acc, s["end"] + 1, F.char_length(acc))))
-    return found.select(*(F.when(F.size("pii_spans") > 0, blot).otherwise(column).alias(name) if name == text else F.col(f"`{name}`") for name in docs.columns))
+    blot = F.aggregate(spans, column, lambda acc, s: F.concat(F.substring(acc, F.lit(1), s["start"]), F.repeat(F.lit("*"), s["end"] - s["start"]), F.substring(acc, s["end"] + 1, F.char_length(acc))))
+    return found.select(*(F.when(F.size(spans) > 0, blot).otherwise(column).alias(name) if name == text else F.col(f"`{name}`") for name in docs.columns))
 
 
 def _written(spans: Column) -> Column:

@@ -75,7 +75,7 @@ def grams(texts: Sequence[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]
     heads = np.flatnonzero((data[:-1] == _SPACE) & (data[1:] != _SPACE))
     if len(heads):
         place = np.arange(len(data)) - np.repeat(np.concatenate([[0], heads]), np.diff(np.concatenate([[0], heads, [len(data)]])))
-        part = _PLACES[np.minimum(place, len(_PLACES) - 1)] * data
+        part = np.where(data == _SPACE, np.uint64(0), _PLACES[np.minimum(place, len(_PLACES) - 1)] * data)
         yield ((np.add.reduceat(part, heads) * _MULTIPLIER) >> shift).astype(np.int32), owner[heads]
 
 

@@ -16,6 +16,7 @@ texts all counts are zero and every byte has probability 1/256.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 
@@ -79,12 +80,12 @@ def _code_counts(texts: DataFrame) -> DataFrame:
 def fit_tree(texts: DataFrame, size: int) -> suffixtree.Model:
     """The tree of texts (one column) of about that many bytes.
 
-    Codes are dealt by their context's last two bytes, so one shuffle brings
+    Codes are dealt by their context's last three bytes, so one shuffle brings
     together all that longer contexts need; what is left of shorter ones is
     summed afterwards.
     """
     least = max(LEAST_COUNT, int(LEAST_SHARE * size))
-    dealt = _code_counts(texts).repartition(F.shiftrightunsigned("code", 8).bitwiseAND(F.lit(0xFFFF)))
+    dealt = _code_counts(texts).repartition(F.shiftrightunsigned("code", 8).bitwiseAND(F.lit(0xFFFFFF)))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [suffixtree.counted(batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy()) for batch in batches]
@@ -94,7 +95,7 @@ def fit_tree(texts: DataFrame, size: int) -> suffixtree.Model:
         del held
         for depth in range(suffixtree.DEPTH, -1, -1):
             codes, counts = suffixtree.counted(codes & np.uint64((1 << (8 * (depth + 1))) - 1), counts)
-            if depth >= 2:
+            if depth >= 3:
                 group = np.cumsum(np.concatenate([[0], np.diff(codes >> np.uint64(8)) > 0]))
                 live = np.bincount(group, counts)[group] >= least
             else:
@@ -103,7 +104,15 @@ def fit_tree(texts: DataFrame, size: int) -> suffixtree.Model:
 
     found = common.by_batches(dealt, work, "depth int, code long, count long").groupBy("depth", "code").agg(F.sum("count").alias("count")).toArrow()
     depths, code, count = (found.column(name).to_numpy() for name in ("depth", "code", "count"))
-    return suffixtree.grow([(code[depths == depth].view(np.uint64), count[depths == depth]) for depth in range(suffixtree.DEPTH + 1)])
+    levels = []
+    for depth in range(suffixtree.DEPTH + 1):
+        codes, counts = suffixtree.counted(code[depths == depth].view(np.uint64), count[depths == depth])
+        if depth == 2:  # the longest contexts that were summed here
+            _, group = np.unique(codes >> np.uint64(8), return_inverse=True)
+            live = np.bincount(group, counts)[group] >= least if len(codes) else np.zeros(0, bool)
+            codes, counts = codes[live], counts[live]
+        levels.append((codes, counts))
+    return suffixtree.grow(levels)
 
 
 def _head(counts: DataFrame) -> dict[bytes, int]:
@@ -129,13 +138,14 @@ def score(docs: DataFrame, training: Column) -> DataFrame:
     """
     learnt = docs.where(training)
     counts = common.cut(word_counts(learnt.select("text")))
-    ends, size = learnt.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    ends, octets = learnt.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     row = counts.agg(F.sum("count").alias("n"), F.count("*").alias("v")).first()
     total, distinct = (row["n"] or 0) + ends, row["v"] + (ends > 0)
-    tree = fit_tree(learnt.select("text"), size)
-    head = {word: np.log10(count + 1) for word, count in _head(counts).items()}
+    tree = fit_tree(learnt.select("text"), octets)
+    size = float(total + distinct + 1)
+    head = {word: math.log10((count + 1) / size) for word, count in _head(counts).items()}
     shared = docs.sparkSession.sparkContext.broadcast((head, tree))
-    end_log = float(np.log10(ends + 1))
+    end_log, unknown_log = math.log10((ends + 1) / size), math.log10(1 / size)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head, tree = shared.value
@@ -161,14 +171,14 @@ def score(docs: DataFrame, training: Column) -> DataFrame:
     scored = common.cut(common.by_batches(numbered, work, "row long, doc_id long, n long, known long, logs double, score double, words array<binary>, times array<long>"))
     tails = scored.select("row", F.explode(F.arrays_zip("words", "times")).alias("tail")).select("row", "tail.words", "tail.times")
     met = tails.join(counts, F.col("words") == F.col("word"))
-    looked_up = met.groupBy("row").agg(F.sum("times").alias("more"), F.sum(F.col("times") * F.log10(F.col("count") + 1)).alias("more_logs"))
+    looked_up = met.groupBy("row").agg(F.sum("times").alias("more"), F.sum(F.col("times") * F.log10((F.col("count") + 1) / F.lit(size))).alias("more_logs"))
     nothing, zero = F.lit(0), F.lit(0.0)
     return scored.drop("words", "times").join(looked_up, "row", "left").select(
         "doc_id",
         (F.col("n") + 1).alias("n_tokens"),
         (F.col("known") + F.coalesce("more", nothing) + (1 if ends else 0)).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("logs") + F.coalesce("more_logs", zero) + end_log - (F.col("n") + 1) * float(np.log10(total + distinct + 1))).alias("base_score"),
+        (F.col("logs") + F.coalesce("more_logs", zero) + (F.col("n") - F.col("known") - F.coalesce("more", nothing)) * unknown_log + end_log).alias("base_score"),
         "score",
     )
 

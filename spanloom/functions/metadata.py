@@ -42,8 +42,8 @@ def flag(md: str, path: str) -> Column:
 
 
 def moment(column: Column) -> Column:
-    """A time written with a blank, with or without fractions of a second."""
-    return F.coalesce(F.try_to_timestamp(column, F.lit("yyyy-MM-dd HH:mm:ss.SSSSSS")), F.try_to_timestamp(column, F.lit("yyyy-MM-dd HH:mm:ss.SSS")), F.try_to_timestamp(column, F.lit("yyyy-MM-dd HH:mm:ss")))
+    """A time written with a blank, with or without fractions of a second; null for any other text."""
+    return F.when(column.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}(?:\.[0-9]{1,6})?$"), column.try_cast("timestamp"))
 
 
 def millis(later: Column, earlier: Column) -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spanloom import schemas
+from spanloom.functions import metadata
 
 PRICING = "component_id string, component_type string, pricing map<string,double>"
 
@@ -33,7 +34,7 @@ def _typed(rows: DataFrame, schema: T.StructType) -> DataFrame:
     for field in schema:
         column = F.col(field.name)
         if isinstance(field.dataType, T.TimestampType):
-            column = F.coalesce(*(F.try_to_timestamp(column, F.lit(form)) for form in ("yyyy-MM-dd HH:mm:ss.SSS", "yyyy-MM-dd HH:mm:ss")))
+            column = metadata.moment(column)
         elif isinstance(field.dataType, T.StringType):
             column = F.coalesce(column, F.lit(""))
         else:

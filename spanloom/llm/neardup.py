@@ -40,6 +40,15 @@ LEAST_PARTS = 8
 ROWS_PER_PART = 500_000
 
 
+#: Digests (about 60 bytes each) are broadcast up to this many; beyond, the join is shuffled.
+MAX_BROADCAST_ROWS = 200_000
+
+
+def _small(side: DataFrame) -> DataFrame:
+    """A broadcast of the side if a count shows that it is small."""
+    return F.broadcast(side) if side.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS else side
+
+
 def _digest(text: str):
     return F.when(F.length(text) > 0, F.unhex(F.md5(F.col(text).cast("binary"))))
 
@@ -182,7 +191,7 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     draw = F.struct(F.xxhash64("node", "key").alias("draw"), "node")
     buckets = members.groupBy("key").agg(F.min(draw)["node"].alias("leader"), F.count("*").alias("size")).where("size > 1").drop("size")
     shared = common.cut(members.join(buckets, "key"))
-    wanted = shared.select("node").distinct()
+    wanted = _small(common.cut(shared.select("node").distinct()))
     texts = common.cut(_shingled(docs.select(_digest("text").alias("node"), "text").join(wanted, "node", "left_semi").dropDuplicates(["node"])))
     ordered = lambda pairs: pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     first = ordered(shared.where("node <> leader").select(F.col("node").alias("x"), F.col("leader").alias("y")))
@@ -209,13 +218,27 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
-    """docs with one row of each class: that with the smallest doc_id. Null and empty texts stay."""
-    _, found = classes(docs)
-    node = common.fresh_name(docs, "node")
-    stays = found.select("first").distinct().select(F.col("first.node").alias(node), F.col("first.doc_id").alias("_stays"))
-    keyed = docs.withColumn(node, _digest("text"))
-    kept = keyed.join(stays, node).where(F.col("doc_id").cast("long").eqNullSafe(F.col("_stays"))).drop("_stays")
-    return kept.dropDuplicates([node]).select(docs.columns).union(docs.where("text IS NULL OR text = ''").select(docs.columns))
+    """docs with one row of each class: that with the smallest doc_id. Null and empty texts stay.
+
+    Rows that go are found by their id and text, so the texts of those that
+    stay aren't moved; only where an id and text that stay occur more than once
+    are their rows brought together.
+    """
+    rows, found = classes(docs)
+    node, number = common.fresh_name(docs, "node"), common.fresh_name(docs, "number")
+    own_node, own_number = common.fresh_name(docs, "class_node"), common.fresh_name(docs, "class_number")
+    key = [own_node, own_number]
+    named = rows.where("node IS NOT NULL").join(found.select("node", "first"), "node")
+    stays = (F.col("node") == F.col("first.node")) & F.col("doc_id").eqNullSafe(F.col("first.doc_id"))
+    named = common.cut(named.groupBy(F.col("node").alias(own_node), F.col("doc_id").alias(own_number)).agg(F.max(stays).alias("stays"), F.count("*").alias("times")))
+    gone, repeated = _small(named.where("NOT stays").select(*key)), named.where("stays AND times > 1").select(*key)
+    keyed = docs.withColumn(node, _digest("text")).withColumn(number, F.col("doc_id").cast("long"))
+    same = (F.col(node) == F.col(own_node)) & F.col(number).eqNullSafe(F.col(own_number))
+    kept = keyed.join(gone, same, "left_anti")
+    if repeated.limit(1).count():
+        once = _small(repeated)
+        kept = kept.join(once, same, "left_anti").union(keyed.join(once, same, "left_semi").dropDuplicates([node]))
+    return kept.select(docs.columns)
 
 
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

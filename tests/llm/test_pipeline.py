@@ -1,0 +1,47 @@
+import corpus_pipeline
+from spanloom.llm import common, neardup, pieces, secrets, toxicity
+from tests.llm import odd
+from tests.llm.test_decontamination import naive
+
+
+def test_stages_against_brute_force(spark, sf, tmp_path):
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "near_duplicates", "decontamination", "secrets", "sentencepiece"]
+    docs, held = common.table(spark, sf, "documents"), {}
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES:
+        before = {r.doc_id: r.text for r in docs.collect()}
+        stage(spark, docs, sf).write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+        held[name] = before, {r.doc_id: r for r in docs.collect()}
+        assert docs.columns[: len(columns)] == columns and docs.count() == len(held[name][1])
+        assert docs.columns == columns or name == "sentencepiece"
+    before, after = held["toxicity"]
+    source = common.table(spark, sf, "documents")
+    model = toxicity.fit(source, common.table(spark, sf, "labels"), common.remainder("doc_id", 4) != 2)
+    assert set(after) == {i for i, t in before.items() if model.score([t])[0] < 0.3}
+    before, after = held["near_duplicates"]
+    found = {r.doc_id: r.class_id for r in neardup.near_duplicates(spark.read.parquet(str(tmp_path / "toxicity"))).collect()}
+    assert set(after) == set(found.values())
+    before, after = held["decontamination"]
+    items = [(r.item_id, r.text) for r in common.table(spark, sf, "benchmark").collect()]
+    judged = {i: naive(t, items) for i, t in before.items()}
+    assert set(after) == {i for i, (*_, bad) in judged.items() if not bad}
+    assert all((after[i].text == before[i]) == (judged[i][1] == 0) and naive(after[i].text, items)[1] == 0 for i in after)
+    before, after = held["secrets"]
+    assert set(after) == set(before) and all(r.n_chars == len(r.text) for r in after.values())
+    assert all((r.text == before[i]) == (not secrets.find(before[i])) for i, r in after.items())
+    before, after = held["sentencepiece"]
+    codec = pieces.Codec(*pieces.load(common.tokenizer_file(pieces.MODEL_FILE)))
+    assert set(after) == set(before) and all(r.token_ids == codec.reference.encode(r.text) for r in after.values())
+    assert {r.doc_id for r in corpus_pipeline.run(spark, sf).collect()} == set(after)
+
+
+def test_odd_documents(spark, sf):
+    docs = odd.clashing(odd.docs(spark), "score", "predicted", "node", "items", "secret_spans")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = common.cut(stage(spark, docs, sf))
+        assert docs.columns == [*odd.docs(spark).columns, "score", "predicted", "node", "items", "secret_spans"], name
+    rows = corpus_pipeline.encode(spark, docs, sf).collect()
+    assert sum(r.text is None for r in rows) == 1 and sum(r.text == "" for r in rows) == 1 and [r.doc_id for r in rows].count(1) == 1
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, odd.empty(spark), sf).count() == 0

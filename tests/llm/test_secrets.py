@@ -1,0 +1,89 @@
+import hashlib
+import math
+import re
+from collections import Counter
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from spanloom.llm import secrets
+from tests.llm import odd
+
+
+def naive(text):
+    """The format rules, as they are written in the contract."""
+    found = []
+    for kind, pattern, test in (
+        ("assign", r"(?ai:(password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", lambda m: len(m[2]) >= 6),
+        ("access", r"AKIA[A-Z0-9]+", lambda m: len(m[0]) >= 20),
+        ("hex", r"[0-9a-f]+", lambda m: len(m[0]) >= 24),
+    ):
+        found += [(m.start(), secrets.KINDS.index(kind), f"{kind}:{m.start()}:{m.end()}") for m in re.finditer(pattern, text or "") if test(m)]
+    return ",".join(span for *_, span in sorted(found))
+
+
+CASES = ["token = 'abcdef'", "token:token:abcdefgh", "SECRET=\"abc\"", "api_key: " + "0" * 40, "AKIA" + "A" * 16 + "AKIA", "AKIA" + "B" * 15, "a" * 23, "f" * 24 + "g" + "0" * 30, "apikey==abcdef password=x", "ſecret=abcdefg", "token = " + "ab" * 30 + " x AKIA" + "Z9" * 10]
+
+
+def base(text):
+    return ",".join(f"{secrets.KINDS[k]}:{a}:{b}" for a, b, k in secrets.find(text) if k < 3)
+
+
+def test_rules():
+    for text in CASES:
+        assert base(text) == naive(text), text
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["token", "secret", "=", ":", " ", "'", "abcdef", "0123456789abcdef", "AKIA", "ABCDEFGH", "x", "-"]), max_size=14))
+def test_rules_on_mixtures(parts):
+    assert base("".join(parts)) == naive("".join(parts))
+
+
+def windows(text):
+    """Covered stretches, each window's entropy computed anew."""
+    covered = set()
+    for kind in secrets.CLASSES:
+        for run in kind.pattern.finditer(text):
+            for at in range(run.start(), run.end() - kind.window + 1):
+                part = text[at : at + kind.window]
+                bits = -sum(n / kind.window * math.log2(n / kind.window) for n in Counter(part).values())
+                if bits >= kind.bits - 1e-9 and sum(c.isdigit() for c in part) >= 2 and sum(c.isalpha() for c in part) >= 2:
+                    covered.update(range(at, at + kind.window))
+    return covered
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet="abcdefABCDEF0123456789xyzXYZ+/_", min_size=20, max_size=60))
+def test_incremental_entropy(text):
+    spans = secrets.entropy_spans(text, allowed=None)
+    assert {i for a, b in spans for i in range(a, b)} == windows(text)
+    assert spans == sorted(spans) and all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+
+
+def test_method_adds_and_allow_list_suppresses():
+    key = "ghp_a8Kd93jQpLz71XcVbN0mWq2RtYs5"
+    assert [(k, b - a) for a, b, k in secrets.find(f"push {key} now")] == [(3, len(key))]
+    for harmless in ("550e8400-e29b-41d4-a716-446655440000", "12345-67890-12345-67890-12345", "src/main/resources/templates/index2", "abcdefghijklmnopqrstuvwxyz0123456789", "internationalization_of_words"):
+        assert secrets.find(f"see {harmless} now") == []
+
+
+def test_frames(spark):
+    frame = odd.clashing(odd.docs(spark, [(9, "token=abcdefg", "en", "a", 13)]), "secret_spans", "kind")
+    got = secrets.scan(frame)
+    assert got.columns == [*odd.docs(spark).columns, "kind", "secret_spans"]
+    rows = got.collect()
+    assert len(rows) == 9 and [r.secret_spans for r in rows if r.doc_id == 2] == [[]]
+    assert [(s.kind, s.start, s.end) for r in rows if r.doc_id == 9 for s in r.secret_spans] == [("assign", 0, 13)]
+    assert secrets.scan(odd.empty(spark)).count() == 0
+    clean = secrets.redact(frame).collect()
+    assert [r.text for r in clean if r.doc_id == 9] == ["[SECRET]"] and sum(r.text is None for r in clean) == 1
+    assert secrets.blot("abcdef", [(1, 3), (2, 4)], "#") == "a#ef"
+
+
+def test_query(spark, sf):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    for row in secrets.op1_secrets(spark, sf).collect():
+        expected = naive(texts[row.doc_id])
+        assert row.base_sha256 == hashlib.sha256(expected.encode()).hexdigest()
+        assert row.n_assign == expected.count("assign:") and row.n_hex == expected.count("hex:") and row.n_access == expected.count("access:")

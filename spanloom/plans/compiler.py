@@ -131,3 +131,10 @@ def emit(context: DataFrame, specs: Sequence[declared.MetricSpec], active: DataF
         "span_id", "trace_id", "parent_span_id", "scope", *schemas.PATH, "component_type", "environment", F.col("ended_at").alias("ts"),
         "metric", "value", F.lit(None).cast("float").alias("confidence"), "metric_meta", F.col("started_at").alias("start_ts"), F.col("ended_at").alias("end_ts"),
     )
+
+
+def skipped(context: DataFrame, specs: Sequence[declared.MetricSpec]) -> DataFrame:
+    """metric, skipped: on how many spans each metric applies but has no value, the most first."""
+    specs = [spec for spec in specs if spec.per_span]
+    counts = context.agg(*(F.count_if(spec.predicate.column() & spec.value().isNull()).alias(spec.metric) for spec in specs))
+    return counts.unpivot([], [spec.metric for spec in specs], "metric", "skipped").orderBy(F.desc("skipped"), "metric")

@@ -522,3 +522,37 @@ def eval_best_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("eval_spearman", "WITH r AS (SELECT rank() OVER (ORDER BY n_chars) + (count(*) OVER (PARTITION BY n_chars) - 1) / 2.0 AS a, rank() OVER (ORDER BY doc_id) AS b FROM documents) SELECT round(corr(a, b), 9) AS spearman FROM r")
 def eval_spearman(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluation.spearman(fixtures.table(spark, sf_dir, "documents"), "n_chars", "doc_id").select(F.round("spearman", 9).alias("spearman"))
+
+
+def _one(name: str, source: str) -> Query:
+    return lambda spark, sf_dir: QUERIES[source](spark, sf_dir).where(F.col("metric") == name)
+
+
+for _source, _names in (("quality_mechanical", _MECHANICAL), ("quality_semantic", ("faithfulness", "coherence", "completeness", "context_relevance", "chunk_utilization")), ("safety_documents", ("pii_detected", "prompt_injection_detected", "toxicity_detected"))):
+    for _name in _names:
+        QUERIES[f"metric_{_name}"] = _one(_name, _source)
+        if _source in ORACLE_SQL:
+            ORACLE_SQL[f"metric_{_name}"] = f"SELECT * FROM ({ORACLE_SQL[_source]}) AS q WHERE metric = '{_name}'"
+
+
+@register("verify_catalog", f"{_REGISTRY} SELECT lens, count(DISTINCT metric_name) AS n FROM off GROUP BY lens")
+def verify_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return declared.catalog(spark).groupBy("lens").agg(F.count("*").alias("n"))
+
+
+@register("verify_thresholds", f"{_REGISTRY} SELECT category, scope, count(*) AS n, count(*) FILTER (WHERE is_active) AS n_active FROM thr GROUP BY category, scope")
+def verify_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _registry(spark, sf_dir)["thresholds"].groupBy("category", "scope").agg(F.count("*").alias("n"), F.count_if("is_active").alias("n_active"))
+
+
+@register("verify_states", f"{_REGISTRY} SELECT state, count(*) AS n FROM mat GROUP BY state")
+def verify_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _cells(spark, sf_dir).groupBy("state").agg(F.count("*").alias("n"))
+
+
+@register("silent_metrics", f"""{SPANS}, m AS (SELECT 'retry_count' AS metric, {METRIC_SQL["retry_count"][0].replace(" AND ok_md", "")} AS applies, ok_md FROM u UNION ALL SELECT 'records_processed', {METRIC_SQL["records_processed"][0].replace(" AND ok_md", "")}, ok_md FROM u)
+SELECT metric, count(*) FILTER (WHERE NOT ok_md) AS skipped FROM m WHERE applies GROUP BY metric""")
+def silent_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metrics that most often apply to a span but have no value there: ten at most."""
+    context = compiler.with_performance(fixtures.spans_from_events(spark, sf_dir))
+    return compiler.skipped(context, [spec for spec in declared.SPECS if spec.metric in ("retry_count", "records_processed")]).limit(10)

@@ -165,3 +165,27 @@ def test_auprc(spark):
     assert evaluation.at_threshold(rows.limit(0), 0.5).first().f1 == 0.0
     ranked = spark.createDataFrame([(1, 2), (2, 4), (3, 9)], "a int, b int")
     assert evaluation.spearman(ranked, "a", "b").select(F.round("spearman", 6)).first()[0] == 1.0
+
+
+def test_gold_sets(spark, tmp_path):
+    from spanloom.sources import gold
+
+    (tmp_path / "qa.jsonl").write_text('{"knowledge": "k", "question": "q", "right_answer": "r", "hallucinated_answer": "h"}\n' * 3)
+    rows = gold.question_answers(spark, str(tmp_path / "qa.jsonl"))
+    assert sorted((r.premise, r.hypothesis, r.label) for r in rows.distinct().collect()) == [("k q", "h", 0), ("k q", "r", 1)]
+    assert gold.balanced(rows, 2).count() == 4
+    spark.createDataFrame([("q", (["a", "b"], [0, 1]))], "query string, passages struct<passage_text:array<string>,is_selected:array<int>>").write.parquet(str(tmp_path / "p"))
+    assert sorted((r.passage, r.label) for r in gold.passages(spark, str(tmp_path / "p")).collect()) == [("a", 0), ("b", 1)]
+    spark.createDataFrame([("t", ["x", "y"], [1.0, 2.0], [3.0, 4.0])], "text string, machine_summaries array<string>, coherence array<double>, relevance array<double>").write.parquet(str(tmp_path / "s"))
+    assert [(r.summary, r.coherence, r.relevance) for r in gold.summaries(spark, str(tmp_path / "s")).orderBy("summary").collect()] == [("x", 1.0, 3.0), ("y", 2.0, 4.0)]
+
+
+def test_cli(tmp_path, capsys):
+    from spanloom import cli
+
+    (tmp_path / "t.txt").write_text("SSN 123-45-6789")
+    assert cli.main(["analyze", str(tmp_path / "t.txt"), "--evaluate"]) == 0
+    assert "US_SSN 4-15" in capsys.readouterr().out
+    assert cli.main(["analyze", str(tmp_path / "t.txt"), "--format", "json", "--output", str(tmp_path / "o.json")]) == 0
+    assert json.loads((tmp_path / "o.json").read_text())["entities"][0]["type"] == "US_SSN"
+    assert cli.main(["specs"]) == 0 and len(capsys.readouterr().out.splitlines()) == 50

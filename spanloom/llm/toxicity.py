@@ -15,8 +15,9 @@ hash row (``2 ** BUCKET_BITS`` floats, whatever the corpus).
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +42,7 @@ THRESHOLD = 0.3
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _SPACE = 32
+_CHUNK = 256
 #: A factor for each place in a word, by which whole words are hashed.
 _PLACES = np.random.default_rng(11).integers(1, 2**63, 64, dtype=np.uint64)
 
@@ -79,20 +81,30 @@ def grams(texts: Sequence[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]
         yield ((np.add.reduceat(part, heads) * _MULTIPLIER) >> shift).astype(np.int32), owner[heads]
 
 
-def _bags(texts: Sequence[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Each text's distinct hash rows and their counts."""
-    bags = []
-    for at in range(0, len(texts), 256):
-        some = texts[at : at + 256]
-        pairs = list(grams(some))
-        ids = np.concatenate([x for x, _ in pairs] or [np.zeros(0, np.int32)])
-        owner = np.concatenate([x for _, x in pairs] or [np.zeros(0, np.int32)])
-        order = np.argsort(owner, kind="stable")
-        ends = np.cumsum(np.bincount(owner, minlength=len(some)))
-        for part in np.split(ids[order], ends[:-1]):
-            rows, counts = np.unique(part, return_counts=True)
-            bags.append((rows, np.minimum(counts, 255).astype(np.uint8)))
-    return bags
+class _Bags:
+    """Each text's distinct hash rows and their counts, in flat arrays of _CHUNK texts."""
+
+    def __init__(self, texts: Iterable[str | None]) -> None:
+        self.chunks: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.size = 0
+        texts = iter(texts)
+        while some := list(islice(texts, _CHUNK)):
+            codes = [(owner.astype(np.int64) << BUCKET_BITS) | ids for ids, owner in grams(some)]
+            codes, counts = np.unique(np.concatenate(codes or [np.zeros(0, np.int64)]), return_counts=True)
+            ends = np.searchsorted(codes, np.arange(1, len(some) + 1) << BUCKET_BITS)
+            self.chunks.append(((codes & ((1 << BUCKET_BITS) - 1)).astype(np.int32), np.minimum(counts, 255).astype(np.uint8), ends))
+            self.size += len(some)
+
+    def __getitem__(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        ids, counts, ends = self.chunks[i // _CHUNK]
+        part = slice(ends[i % _CHUNK - 1] if i % _CHUNK else 0, ends[i % _CHUNK])
+        return ids[part], counts[part]
+
+    def keep(self, wanted: np.ndarray) -> None:
+        """Drops the hash rows that aren't wanted."""
+        for k, (ids, counts, ends) in enumerate(self.chunks):
+            known = wanted[ids]
+            self.chunks[k] = ids[known], counts[known], np.concatenate([[0], np.cumsum(known)])[ends]
 
 
 @dataclass
@@ -113,26 +125,30 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
 
 
-def train(texts: Sequence[str | None], labels: Sequence[int], seed: int = 7) -> Model:
-    """Fits embeddings and softmax by stochastic gradient descent with per-row adaptive steps."""
+def train(texts: Iterable[str | None], labels: Sequence[int], seed: int = 7) -> Model:
+    """Fits embeddings and softmax by stochastic gradient descent with per-row adaptive steps.
+
+    labels may be filled while texts are read.
+    """
     rng = np.random.default_rng(seed)
+    docs = _Bags(texts)
     labels = np.asarray(labels, np.int64)
-    docs = _bags(texts)
     size = 1 << BUCKET_BITS
-    seen = np.zeros(size)
-    for ids, _ in docs:
-        seen[ids] += 1
-    weight = (seen >= MIN_TEXTS) / (1.0 + COMMON * seen / max(1, len(docs)))
-    for i, (ids, counts) in enumerate(docs):
-        known = weight[ids] > 0
-        docs[i] = ids[known], counts[known]
-    table = (rng.standard_normal((size, DIM)) * 0.05).astype(np.float32)
+    seen = np.zeros(size, np.float32)
+    for ids, _, _ in docs.chunks:
+        seen += np.bincount(ids, minlength=size)
+    weight = ((seen >= MIN_TEXTS) / (1.0 + COMMON * seen / max(1, docs.size))).astype(np.float32)
+    docs.keep(seen >= MIN_TEXTS)
+    table = rng.standard_normal((size, DIM), np.float32) * np.float32(0.05)
     softmax = (rng.standard_normal((2, DIM)) * 0.3).astype(np.float32)
+    if not docs.size:
+        empty = np.zeros(size, np.float32)
+        return Model(empty, empty, 0.0)
     bias = np.log(np.bincount(labels, minlength=2) + 1.0)
-    speed = np.full(size, 1e-4, np.float64)
+    speed = np.full(size, 1e-4, np.float32)
     for epoch in range(EPOCHS):
         step = LEARNING_RATE * (1 - epoch / EPOCHS)
-        for i in rng.permutation(len(docs)):
+        for i in rng.permutation(docs.size):
             ids, counts = docs[i]
             if not len(ids):
                 continue
@@ -170,14 +186,16 @@ def fit(docs: DataFrame, labels: DataFrame, keep: Column | None = None) -> Model
     rows = (
         docs.select("doc_id", "text").where(F.length("text") <= MAX_TRAINING_CHARS)
         .join(F.broadcast(chosen), "doc_id")
-        .dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").collect()
+        .dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id")
     )
-    if not rows:
-        empty = np.zeros(1 << BUCKET_BITS, np.float32)
-        return Model(empty, empty, 0.0)
-    texts, labels = [row.text for row in rows], [min(1, max(0, row.toxic)) for row in rows]
-    del rows
-    return train(texts, labels)
+    labels: list[int] = []
+
+    def texts() -> Iterator[str]:
+        for row in rows.toLocalIterator():  # a partition at a time
+            labels.append(min(1, max(0, row.toxic)))
+            yield row.text
+
+    return train(texts(), labels)
 
 
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD, names: tuple[str, str] = ("score", "predicted")) -> DataFrame:

@@ -27,6 +27,28 @@ def at_threshold(rows: DataFrame, threshold: float, score: str = "score", label:
     return counts.select("*", *(value.alias(name) for name, value in _rates().items()))
 
 
+#: Buckets of running sums: each is summed by itself, so none needs all values in one task.
+BUCKETS = 64
+
+
+def running(rows: DataFrame, order: str, *columns: str) -> DataFrame:
+    """Adds upto_<column> (the sum over rows with at most this order) and all_<column>.
+
+    The values of order must be distinct. Rows are bucketed by approximate
+    quantiles of order; a row's sum is that of the buckets before plus that
+    within its own.
+    """
+    edges = sorted(set(rows.approxQuantile(order, [i / BUCKETS for i in range(1, BUCKETS)], 1 / (4 * BUCKETS))))
+    bucket = F.size(F.filter(F.array(*map(F.lit, edges)), lambda e: F.col(order) >= e)) if edges else F.lit(0)
+    held = rows.withColumn("_bucket", bucket)
+    sums = held.groupBy("_bucket").agg(*(F.sum(c).alias(f"_{c}") for c in columns))  # a row for each bucket
+    before, every = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy()
+    sums = sums.select("_bucket", *(F.coalesce(F.sum(f"_{c}").over(before), F.lit(0)).alias(f"_before_{c}") for c in columns), *(F.sum(f"_{c}").over(every).alias(f"all_{c}") for c in columns))
+    within = Window.partitionBy("_bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    joined = held.withColumns({f"_within_{c}": F.sum(c).over(within) for c in columns}).join(F.broadcast(sums), "_bucket")
+    return joined.select(*rows.columns, *((F.col(f"_before_{c}") + F.col(f"_within_{c}")).alias(f"upto_{c}") for c in columns), *(f"all_{c}" for c in columns))
+
+
 def _by_score(rows: DataFrame, score: str, label: str) -> DataFrame:
     """Positives and negatives of each distinct score: what the curves need, whatever the number of rows."""
     return rows.groupBy(F.col(score).alias("score")).agg(F.count_if(F.col(label) == 1).alias("good"), F.count_if(F.col(label) != 1).alias("bad"))
@@ -47,27 +69,25 @@ def best_threshold(rows: DataFrame, score: str = "score", label: str = "label",
 
 def auroc(rows: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
     """Area under the ROC curve; ties count half. The ranks come from counts by score."""
-    held = _by_score(rows, score, label)
-    below = F.coalesce(F.sum("bad").over(Window.orderBy("score").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    won = held.select((F.col("good") * (below + F.col("bad") / 2.0)).alias("won"), "good", "bad")
+    held = running(_by_score(rows, score, label).where("score IS NOT NULL").withColumn("score", F.col("score").cast("double")), "score", "bad")
+    won = held.select((F.col("good") * (F.col("upto_bad") - F.col("bad") / 2.0)).alias("won"), "good", "bad")
     return won.agg(F.try_divide(F.sum("won"), F.sum("good") * F.sum("bad")).alias("auroc"))
 
 
 def auprc(rows: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
     """Average precision: the steps of recall, from the highest score down, times the precision there."""
-    held = _by_score(rows, score, label)
-    over = Window.orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    curve = held.select("good", F.sum("good").over(over).alias("tp"), F.sum(F.col("good") + F.col("bad")).over(over).alias("n"))
-    return curve.agg(F.try_divide(F.sum(F.col("good") * F.col("tp") / F.col("n")), F.sum("good")).alias("auprc"))
+    held = _by_score(rows, score, label).where("score IS NOT NULL").withColumn("score", F.col("score").cast("double")).withColumn("n", F.col("good") + F.col("bad"))
+    held = running(held, "score", "good", "n")
+    from_top = lambda name: F.col(f"all_{name}") - F.col(f"upto_{name}") + F.col(name)
+    return held.agg(F.try_divide(F.sum(F.col("good") * from_top("good") / from_top("n")), F.sum("good")).alias("auprc"))
 
 
 def spearman(rows: DataFrame, a: str, b: str) -> DataFrame:
     """The correlation of the ranks of two columns; equal values share their mean rank."""
     ranked = rows.select(a, b).where(F.col(a).isNotNull() & F.col(b).isNotNull())
     for name in (a, b):
-        counts = ranked.groupBy(name).agg(F.count("*").alias("n"))
-        before = F.coalesce(F.sum("n").over(Window.orderBy(name).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        ranked = ranked.join(counts.select(name, (before + (F.col("n") + 1) / 2.0).alias(f"rank_{name}")), name)
+        counts = running(ranked.groupBy(name).agg(F.count("*").alias("n")), name, "n")
+        ranked = ranked.join(counts.select(name, (F.col("upto_n") - F.col("n") + (F.col("n") + 1) / 2.0).alias(f"rank_{name}")), name)
     return ranked.agg(F.corr(f"rank_{a}", f"rank_{b}").alias("spearman"))
 
 

@@ -95,9 +95,13 @@ def overlapping(spans: DataFrame, keys: Sequence[str] = ("solution_id",)) -> Dat
     Events are first summed by instant, so the running sum meets each instant once.
     """
     events = spans.select(*keys, F.explode(F.array(F.struct(F.col("started_at").alias("at"), F.lit(1).alias("change")), F.struct(F.col("ended_at").alias("at"), F.lit(-1).alias("change")))).alias("e"))
-    summed = events.groupBy(*keys, F.col("e.at").alias("at")).agg(F.sum("e.change").alias("change"))
-    running = F.sum("change").over(Window.partitionBy(*keys).orderBy("at"))
-    return summed.withColumn("open", running).groupBy(*keys, F.date_trunc("hour", "at").alias("hour")).agg(F.max("open").alias("most_open"))
+    summed = events.groupBy(*keys, F.date_trunc("hour", "e.at").alias("hour"), F.col("e.at").alias("at")).agg(F.sum("e.change").alias("change"))
+    hours = summed.groupBy(*keys, "hour").agg(F.sum("change").alias("total"))  # few rows: the sums of the hours before are formed from them
+    before = F.sum("total").over(Window.partitionBy(*keys).orderBy("hour").rowsBetween(Window.unboundedPreceding, -1))
+    hours = hours.select(*keys, "hour", F.coalesce(before, F.lit(0)).alias("before"))
+    within = F.sum("change").over(Window.partitionBy(*keys, "hour").orderBy("at"))
+    found = summed.withColumn("within", within).join(hours, [*keys, "hour"])
+    return found.groupBy(*keys, "hour").agg(F.max(F.col("before") + F.col("within")).alias("most_open"))
 
 
 def _costs(states: DataFrame, key: str) -> DataFrame:
@@ -119,8 +123,8 @@ def budget_utilization(states: DataFrame, budget: float, key: str = "solution_id
 def infrastructure_cost(states: DataFrame, allocated: float, key: str = "solution_id") -> DataFrame:
     """A given amount, allocated by each key's share of the spans."""
     spans = states.where("metric = 'latency'").groupBy(key).agg(F.sum("count").alias("n"))
-    total = spans.agg(F.sum("n").alias("total"))
-    return spans.join(F.broadcast(total)).select(key, F.round(F.lit(float(allocated)) * F.col("n") / F.col("total"), 8).alias("infrastructure_cost"))  # one row
+    total = F.sum("n").over(Window.partitionBy())  # over one row for each key
+    return spans.select(key, F.round(F.lit(float(allocated)) * F.col("n") / total, 8).alias("infrastructure_cost"))
 
 
 def cost_per(states: DataFrame, metric: str, name: str, key: str = "solution_id", by: str = "sum_value") -> DataFrame:

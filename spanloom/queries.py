@@ -374,8 +374,9 @@ def registry_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A batch reconciled twice leaves the registry as it was."""
     spans, catalog = fixtures.spans_from_events(spark, sf_dir), declared.catalog(spark)
     twice = registry.reconcile(spans, catalog, registry.reconcile(spans, catalog))
-    counts = [twice[name].agg(F.count("*").alias(name)) for name in ("entities", "bindings", "thresholds")]
-    return counts[0].join(F.broadcast(counts[1])).join(F.broadcast(counts[2]))  # a row each
+    names = ("entities", "bindings", "thresholds")
+    counts = [twice[name].agg(F.lit(name).alias("name"), F.count("*").alias("n")) for name in names]
+    return counts[0].union(counts[1]).union(counts[2]).agg(*(F.max(F.when(F.col("name") == name, F.col("n"))).alias(name) for name in names))
 
 
 @register("active_toggles", f"{_REGISTRY} SELECT scope, solution_id, coalesce(endpoint, '') AS endpoint, coalesce(workflow_id, '') AS workflow_id, coalesce(agent_id, '') AS agent_id, coalesce(component_id, '') AS component_id, metric_name AS metric FROM thr WHERE is_active AND category = 'performance'")

@@ -4,16 +4,11 @@ from __future__ import annotations
 
 import os
 import tempfile
-import zipfile
-from collections.abc import Callable, Iterator
-from pathlib import Path
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of one Arrow batch: keeps a batch of very long texts within a worker's memory.
-ROWS_PER_BATCH = 256
+from spanloom.functions.arrow import by_batches, ship  # noqa: F401
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -47,30 +42,6 @@ def cut(frame: DataFrame) -> DataFrame:
     return frame.checkpoint(eager=True)
 
 
-_shipped: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Sends this library's code to the executors, once an application: their Python need not have it installed."""
-    context = spark.sparkContext
-    if context.applicationId in _shipped:
-        return
-    package = Path(__file__).resolve().parent.parent
-    archive = Path(tempfile.mkdtemp(prefix="spanloom-code-")) / "spanloom_code.zip"
-    with zipfile.ZipFile(archive, "w") as out:
-        for file in sorted(package.rglob("*.py")):
-            out.write(file, str(file.relative_to(package.parent)))
-    context.addPyFile(str(archive))
-    _shipped.add(context.applicationId)
-
-
-def by_batches(frame: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """mapInArrow in batches of at most ROWS_PER_BATCH rows."""
-    ship(frame.sparkSession)
-    frame.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
-    return frame.mapInArrow(work, schema)
-
-
 def sha256_of(parts: Column) -> Column:
     """Lower-case hex SHA-256 of an array of strings, comma-joined."""
     return F.sha2(F.array_join(parts, ","), 256)

@@ -18,6 +18,7 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice, takewhile
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -105,13 +106,16 @@ def find(text: str | None) -> list[tuple[int, int, int]]:
     """Spans (start, end, index in KINDS) of a text, by start, then kind. The first three kinds are the format rules."""
     if not text:
         return []
-    spans = [(m.start(), m.end(), 0) for m in _ASSIGN.finditer(text) if m.end(1) - m.start(1) >= 6]
+    assigned = [(m.start(), m.end(), 0) for m in _ASSIGN.finditer(text) if m.end(1) - m.start(1) >= 6]
+    spans, first = list(assigned), 0
     for run in _RUN.finditer(text):
         candidate, at = run.group(), run.start()
         known = [(at + m.start(), at + m.end(), 1) for m in _ACCESS.finditer(candidate) if m.end() - m.start() >= 20]
         known += [(at + m.start(), at + m.end(), 2) for m in _HEX.finditer(candidate)]
         spans += known
-        covered = known + [span for span in spans if span[2] == 0 and span[1] > at and span[0] < run.end()]
+        while first < len(assigned) and assigned[first][1] <= at:
+            first += 1
+        covered = known + list(takewhile(lambda span, end=run.end(): span[0] < end, islice(assigned, first, None)))
         for start, end in entropy_spans(candidate):
             if not any(a < at + end and b > at + start for a, b, _ in covered):
                 spans.append((at + start, at + end, 3))

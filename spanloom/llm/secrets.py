@@ -18,7 +18,6 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import islice, takewhile
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -115,7 +114,10 @@ def find(text: str | None) -> list[tuple[int, int, int]]:
         spans += known
         while first < len(assigned) and assigned[first][1] <= at:
             first += 1
-        covered = known + list(takewhile(lambda span, end=run.end(): span[0] < end, islice(assigned, first, None)))
+        last = first
+        while last < len(assigned) and assigned[last][0] < run.end():
+            last += 1
+        covered = known + assigned[first:last]
         for start, end in entropy_spans(candidate):
             if not any(a < at + end and b > at + start for a, b, _ in covered):
                 spans.append((at + start, at + end, 3))

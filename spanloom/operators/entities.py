@@ -8,8 +8,10 @@ organisations and groups come from a backend that is given, or not at all.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
+from itertools import accumulate, groupby
 
 
 @dataclass(frozen=True)
@@ -132,11 +134,22 @@ def boosted(text: str, found: Entity) -> Entity:
 
 
 def without_nested(found: Sequence[Entity]) -> list[Entity]:
-    """Of each type, entities that lie in no better one."""
+    """Of each type, entities that lie in no better one; of equals the first and longest stays."""
     kept: list[Entity] = []
-    for one in sorted(found, key=lambda e: (-e.score, e.start, e.start - e.end)):
-        if not any(k.type == one.type and k.start <= one.start and one.end <= k.end for k in kept):
-            kept.append(one)
+    better: list[tuple[int, int]] = []
+    last = None
+    for (kind, _), level in groupby(sorted(found, key=lambda e: (e.type, -e.score, e.start, -e.end)), key=lambda e: (e.type, e.score)):
+        if kind != last:
+            better, last = [], kind
+        starts = [start for start, _ in better]
+        reaches = list(accumulate((end for _, end in better), max))
+        reach = -1
+        for one in level:
+            before = bisect_right(starts, one.start) - 1
+            if reach < one.end and (before < 0 or reaches[before] < one.end):
+                kept.append(one)
+                reach = one.end
+        better = sorted((e.start, e.end) for e in kept if e.type == kind)
     return sorted(kept, key=lambda e: (e.start, e.end, e.type))
 
 

@@ -8,6 +8,7 @@ each entity is. In medical surroundings everything is health information.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -118,10 +119,11 @@ def sentences(text: str, found: Sequence[Entity]) -> list[tuple[int, int, list[E
         edges.append((at, gap.start()))
         at = gap.end()
     edges.append((at, len(text)))
+    starts = [start for start, _ in edges]
     held: dict[int, list[Entity]] = {}
     for one in sorted(found, key=lambda e: e.start):
-        index = next((i for i, (a, b) in enumerate(edges) if a <= one.start < b), len(edges) - 1)
-        held.setdefault(index, []).append(one)
+        index = bisect_right(starts, one.start) - 1
+        held.setdefault(index if one.start < edges[index][1] else len(edges) - 1, []).append(one)
     return [(min(edges[i][0], *(e.start for e in own)), max(edges[i][1], *(e.end for e in own)), own) for i, own in sorted(held.items())]
 
 

@@ -30,7 +30,8 @@ MAX_BROADCAST_WINDOWS = 200_000
 ONE_IN = 20
 
 _BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: Of texts as they are, where A-Z aren't lower-cased yet.
+_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 ADDED = ("n_words", "n_hit", "n_items", "items", "hit_spans", "contaminated")
 
 

@@ -63,6 +63,13 @@ def test_removal(spark):
     assert d.decontaminate(frame, only).columns == frame.columns and kept[5] == odd.LONG
 
 
+def test_removal_after_capitals(spark):
+    before = "USA, I own an iPhone; A McDonald is HERE. NASA and É.U. " * 40
+    frame = odd.docs(spark, [(20, before + ITEM.title() + "! The END.", "en", "a", 1), (21, "I " * 300 + ITEM.upper() + " I", "en", "a", 1)])
+    kept = {r.doc_id: r.text for r in d.decontaminate(frame, bench(spark).where("item_id = 1")).collect()}
+    assert kept[20] == before + " " * 14 + "! The END." and kept[21] == "I " * 300 + " " * 14 + " I"
+
+
 def test_no_python_in_the_plan(spark, sf):
     plan = d.op2_decontamination(spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan and "Cartesian" not in plan

@@ -1,11 +1,14 @@
 """Scoring texts with a probabilistic suffix tree, beside a smoothed unigram baseline.
 
-Gathering: every task counts words and byte 7-grams of its training texts in
-numpy; Spark sums them. Contexts that hold at least LEAST_SHARE of all bytes
-(so at most 1 / LEAST_SHARE of each length) reach the driver, which prunes
-them to a tree (suffixtree.py) and broadcasts it.
-
-Scoring: one pass over the texts. The counts of the most frequent words (at
+Gathering: texts are dealt into chunks by hash. Each chunk's distinct byte
+7-grams, with their counts in training texts, are dealt by the last three bytes
+of their contexts, so that all counts which longer contexts need are together;
+there the tree is pruned and smoothed (suffixtree.chances), and every chunk is
+answered for its own 7-grams. Every context of LEAST_COUNT or more takes part;
+no machine holds the tree. Only its contexts of up to two bytes (at most 256^3
+codes, however large the corpus) reach the driver and are broadcast.
+
+Scoring: each chunk meets its answers. The counts of the most frequent words (at
 most HEAD_WORDS) are broadcast; all other words of a text are looked up by a
 join with the table of counts, which is never capped.
 
@@ -22,97 +25,143 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spanloom.functions import arrow
 from spanloom.llm import common, suffixtree
 
 HEAD_WORDS = 1 << 18
-LEAST_SHARE = 2e-6
+#: Occurrences that a context needs.
 LEAST_COUNT = 4
-#: Words and codes that a task gathers before it hands them on.
+#: Bytes of text in a chunk, about.
+CHUNK = 12_000_000
+_BUCKET_BITS = 12
+#: Words that a task gathers before it hands them on.
 _HELD = 400_000
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
-    """word (binary), count of the texts (one column); the end token isn't among them."""
+    """word (binary), code, count of the texts (one column): either a word, without the end token, or the code of two bytes and the next one."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: Counter[bytes] = Counter()
-        out = lambda: pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], ["word", "count"])
+        codes, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        out = lambda: pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), pa.nulls(len(held), pa.int64()), pa.array(list(held.values()), pa.int64())], ["word", "code", "count"])
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                held.update(suffixtree.tokens_of(text))
+            tokens = [suffixtree.tokens_of(text) for text in batch.column(0).to_pylist()]
+            own, n = suffixtree.counted(suffixtree.codes_of(tokens)[0] & np.uint64(0xFFFFFF))
+            codes, counts = suffixtree.counted(np.concatenate([codes, own]), np.concatenate([counts, n]))
+            for one in tokens:
+                held.update(one)
             if len(held) >= _HELD:
                 yield out()
                 held.clear()
         if held:
             yield out()
+        yield pa.RecordBatch.from_arrays([pa.nulls(len(codes), pa.binary()), pa.array(codes.view(np.int64)), pa.array(counts)], ["word", "code", "count"])
 
-    return common.by_batches(texts, work, "word binary, count long").groupBy("word").agg(F.sum("count").alias("count"))
+    return common.by_batches(texts, work, "word binary, code long, count long").groupBy("word", "code").agg(F.sum("count").alias("count"))
 
 
-def _code_counts(texts: DataFrame) -> DataFrame:
-    """code (suffixtree.codes_of), count of the texts (one column), once or more for each code."""
+def _shallow(found: pa.Table) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The levels of contexts of up to SHALLOW bytes, from code and count."""
+    code, count = found.column("code").to_numpy().view(np.uint64), found.column("count").to_numpy()
+    levels = []
+    for depth in range(suffixtree.SHALLOW + 1):
+        codes, counts = suffixtree.counted(code & np.uint64((1 << (8 * (depth + 1))) - 1), count)
+        if depth == suffixtree.SHALLOW:
+            _, group = np.unique(codes >> np.uint64(8), return_inverse=True)
+            live = np.bincount(group, counts)[group] >= LEAST_COUNT if len(codes) else np.zeros(0, bool)
+            codes, counts = codes[live], counts[live]
+        levels.append((codes, counts))
+    return levels
+
+
+def _distinct(texts: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct turned codes of texts, and how often they occur."""
+    parts = [np.zeros(0, np.uint64)]
+    for at in range(0, len(texts), arrow.ROWS_PER_BATCH):
+        parts.append(suffixtree.turned(suffixtree.codes_of([suffixtree.tokens_of(text) for text in texts.slice(at, arrow.ROWS_PER_BATCH).to_pylist()])[0]))
+    return suffixtree.counted(np.concatenate(parts))
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        parts: list[tuple[np.ndarray, np.ndarray]] = []
-        waiting = 0
-        out = lambda: pa.RecordBatch.from_arrays([pa.array(codes.view(np.int64)), pa.array(counts)], ["code", "count"])
-        for batch in batches:
-            parts.append(suffixtree.counted(suffixtree.codes_of([suffixtree.tokens_of(text) for text in batch.column(0).to_pylist()])[0]))
-            waiting += len(parts[-1][0])
-            if waiting > 2 * _HELD:
-                codes, counts = suffixtree.counted(np.concatenate([codes, *(a for a, _ in parts)]), np.concatenate([counts, *(b for _, b in parts)]))
-                parts, waiting = [], 0
-                if len(codes) > 5 * _HELD:
-                    yield out()
-                    codes, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        if parts:
-            codes, counts = suffixtree.counted(np.concatenate([codes, *(a for a, _ in parts)]), np.concatenate([counts, *(b for _, b in parts)]))
-        if len(codes):
-            yield out()
 
-    return common.by_batches(texts, work, "code long, count long")
+def _packed(codes: np.ndarray) -> bytes:
+    """Byte by byte, so that what neighbours share compresses."""
+    return codes.view(np.uint8).reshape(-1, 8)[:, :7].T.tobytes()
 
 
-def fit_tree(texts: DataFrame, size: int) -> suffixtree.Model:
-    """The tree of texts (one column) of about that many bytes.
+def _unpacked(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 7, 8), np.uint8)
+    out[:, :7] = np.frombuffer(data, np.uint8).reshape(7, -1).T
+    return out.view(np.uint64).ravel()
 
-    Codes are dealt by their context's last three bytes, so one shuffle brings
-    together all that longer contexts need; what is left of shorter ones is
-    summed afterwards.
+
+def _gather(chunk: pa.Table) -> pa.Table:
+    """chunk, bucket, codes, counts of a chunk of texts: all its codes, counted where they are learnt from."""
+    learnt, n = _distinct(chunk.filter(chunk.column("learnt")).column("text"))
+    asked, _ = _distinct(chunk.filter(pc.invert(chunk.column("learnt"))).column("text"))
+    codes, _ = suffixtree.counted(np.concatenate([learnt, asked]))
+    counts = np.zeros(len(codes), np.uint32)
+    counts[np.searchsorted(codes, learnt)] = n
+    buckets = codes >> np.uint64(56 - _BUCKET_BITS)
+    first = np.flatnonzero(np.concatenate([[True], buckets[1:] != buckets[:-1]])).tolist()
+    spans = list(zip(first, [*first[1:], len(codes)]))
+    return pa.table({
+        "chunk": pa.array([chunk.column("chunk")[0].as_py()] * len(spans), pa.int64()),
+        "bucket": pa.array(buckets[first].astype(np.int32)),
+        "codes": pa.array([_packed(codes[a:b]) for a, b in spans], pa.binary()),
+        "counts": pa.array([counts[a:b].tobytes() for a, b in spans], pa.binary()),
+    })
+
+
+def answers(texts: DataFrame, levels: list[tuple[np.ndarray, np.ndarray]]) -> DataFrame:
+    """chunk, bucket, logs (floats of the chunk's distinct turned codes in that bucket, in order), kept.
+
+    texts: chunk, doc_id, text, learnt. Logs are NaN where no state is deeper
+    than SHALLOW; rows without chunk name in kept the suffixes of deeper states.
     """
-    least = max(LEAST_COUNT, int(LEAST_SHARE * size))
-    dealt = _code_counts(texts).repartition(F.shiftrightunsigned("code", 8).bitwiseAND(F.lit(0xFFFFFF)))
+    common.ship(texts.sparkSession)
+    (codes, counts), wide = levels[-1], suffixtree.grow(levels, -np.inf)
+    _, group = np.unique(codes >> np.uint64(8), return_inverse=True)
+    shared = texts.sparkSession.sparkContext.broadcast((wide, codes, counts / np.bincount(group, counts)[group] if len(codes) else np.zeros(0)))
+    least = LEAST_COUNT
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [suffixtree.counted(batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy()) for batch in batches]
-        if not held:
+        heads, parts, numbers = [], [], []
+        for batch in batches:
+            heads.append(batch.select(["chunk", "bucket"]))
+            parts += [_unpacked(data) for data in batch.column("codes").to_pylist()]
+            numbers += [np.frombuffer(data, np.uint32) for data in batch.column("counts").to_pylist()]
+        if not parts:
             return
-        codes, counts = suffixtree.counted(np.concatenate([a for a, _ in held]), np.concatenate([b for _, b in held]))
-        del held
-        for depth in range(suffixtree.DEPTH, -1, -1):
-            codes, counts = suffixtree.counted(codes & np.uint64((1 << (8 * (depth + 1))) - 1), counts)
-            if depth >= 3:
-                group = np.cumsum(np.concatenate([[0], np.diff(codes >> np.uint64(8)) > 0]))
-                live = np.bincount(group, counts)[group] >= least
-            else:
-                live = np.ones(len(codes), bool)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(live.sum(), depth, np.int32)), pa.array(codes[live].view(np.int64)), pa.array(counts[live])], ["depth", "code", "count"])
-
-    found = common.by_batches(dealt, work, "depth int, code long, count long").groupBy("depth", "code").agg(F.sum("count").alias("count")).toArrow()
-    depths, code, count = (found.column(name).to_numpy() for name in ("depth", "code", "count"))
-    levels = []
-    for depth in range(suffixtree.DEPTH + 1):
-        codes, counts = suffixtree.counted(code[depths == depth].view(np.uint64), count[depths == depth])
-        if depth == 2:  # the longest contexts that were summed here
-            _, group = np.unique(codes >> np.uint64(8), return_inverse=True)
-            live = np.bincount(group, counts)[group] >= least if len(codes) else np.zeros(0, bool)
-            codes, counts = codes[live], counts[live]
-        levels.append((codes, counts))
-    return suffixtree.grow(levels)
+        ends = np.cumsum([0, *map(len, parts)]).tolist()
+        own, back = np.unique(np.concatenate(parts), return_inverse=True)
+        number = np.bincount(back, np.concatenate(numbers), len(own))
+        del parts, numbers
+        own = suffixtree.turned_back(own)
+        order = np.argsort(own)
+        own, number = own[order], number[order]
+        wide, near, near_shares = shared.value
+        ending, to_ending = np.unique(own & np.uint64(0xFFFFFF), return_inverse=True)
+        share = np.ones(len(ending))
+        if len(near):
+            at = np.minimum(np.searchsorted(near, ending), len(near) - 1)
+            share = np.where(near[at] == ending, near_shares[at], 1.0)
+        logs, kept = suffixtree.chances(own, number, np.exp(wide._logs(ending))[to_ending], share[to_ending], least)
+        placed = np.empty(len(logs), np.float32)
+        placed[order] = logs
+        placed = placed[back]
+        row = 0
+        for head in heads:
+            data = [placed[ends[k] : ends[k + 1]].tobytes() for k in range(row, row + len(head))]
+            row += len(head)
+            yield pa.RecordBatch.from_arrays([*head.columns, pa.array(data, pa.binary()), pa.nulls(len(head), pa.list_(pa.int32()))], ["chunk", "bucket", "logs", "kept"])
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.binary()), pa.array([kept.astype(np.int32)], pa.list_(pa.int32()))], ["chunk", "bucket", "logs", "kept"])
+
+    dealt = texts.groupBy("chunk").applyInArrow(_gather, "chunk long, bucket int, codes binary, counts binary").repartition("bucket")
+    return common.by_batches(dealt, work, "chunk long, bucket int, logs binary, kept array<int>")
 
 
 def _head(counts: DataFrame) -> dict[bytes, int]:
@@ -136,39 +185,56 @@ def score(docs: DataFrame, training: Column) -> DataFrame:
 
     training: a condition on doc_id that rows learnt from satisfy.
     """
-    learnt = docs.where(training)
-    counts = common.cut(word_counts(learnt.select("text")))
-    ends, octets = learnt.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    learnt = F.coalesce(training, F.lit(False))
+    gathered = common.cut(word_counts(docs.where(learnt).select("text")))
+    counts = gathered.where("word IS NOT NULL").select("word", "count")
+    ends, octets = docs.agg(F.count(F.when(learnt, 1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     row = counts.agg(F.sum("count").alias("n"), F.count("*").alias("v")).first()
     total, distinct = (row["n"] or 0) + ends, row["v"] + (ends > 0)
-    tree = fit_tree(learnt.select("text"), octets)
+    levels = _shallow(gathered.where("word IS NULL").select("code", "count").toArrow())
+    chunk = F.pmod(F.xxhash64("doc_id", "text"), F.lit(octets // CHUNK + 1))
+    texts = docs.select(chunk.alias("chunk"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), learnt.alias("learnt"))
+    found = common.cut(answers(texts, levels))
+    kept = found.where("chunk IS NULL").select(F.explode("kept").alias("kept")).distinct().toArrow().column("kept").to_numpy()  # at most 65,536
+    tree = suffixtree.grow(levels, also=kept.astype(np.uint64))
     size = float(total + distinct + 1)
     head = {word: math.log10((count + 1) / size) for word, count in _head(counts).items()}
     shared = docs.sparkSession.sparkContext.broadcast((head, tree))
     end_log, unknown_log = math.log10((ends + 1) / size), math.log10(1 / size)
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def work(chunk: pa.Table, found: pa.Table) -> pa.Table:
         head, tree = shared.value
-        for batch in batches:
-            tokens = [suffixtree.tokens_of(text) for text in batch.column(2).to_pylist()]
+        codes, _ = _distinct(chunk.column("text"))
+        values = np.frombuffer(b"".join(found.sort_by("bucket").column("logs").to_pylist()), np.float32).copy()
+        left = np.flatnonzero(np.isnan(values))
+        values[left] = tree._logs(suffixtree.turned_back(codes[left]))
+        table = suffixtree.Table(codes, values)
+        del codes, values, left
+        out = []
+        for batch in chunk.combine_chunks().to_batches(arrow.ROWS_PER_BATCH):
+            tokens = [suffixtree.tokens_of(text) for text in batch.column("text").to_pylist()]
             known, logs, tails = [], [], []
             for one in tokens:
-                values = list(map(head.get, one))
-                tails.append(Counter(word for word, value in zip(one, values) if value is None))
-                values = [value for value in values if value is not None]
-                known.append(len(values))
-                logs.append(sum(values))
+                found_logs = list(map(head.get, one))
+                tails.append(Counter(word for word, value in zip(one, found_logs) if value is None))
+                found_logs = [value for value in found_logs if value is not None]
+                known.append(len(found_logs))
+                logs.append(sum(found_logs))
             ends_at = np.zeros(len(tokens) + 1, np.int32)
             np.cumsum([len(tail) for tail in tails], out=ends_at[1:])
             words = pa.array([word for tail in tails for word in tail], pa.binary())
             times = pa.array([n for tail in tails for n in tail.values()], pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([len(one) for one in tokens], pa.int64()), pa.array(known, pa.int64()), pa.array(logs, pa.float64()), pa.array(tree.score(tokens)), pa.ListArray.from_arrays(ends_at, words), pa.ListArray.from_arrays(ends_at, times)],
-                ["row", "doc_id", "n", "known", "logs", "score", "words", "times"],
-            )
-
-    numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    scored = common.cut(common.by_batches(numbered, work, "row long, doc_id long, n long, known long, logs double, score double, words array<binary>, times array<long>"))
+            own, starts = suffixtree.codes_of(tokens)
+            scores = np.add.reduceat(table.get(suffixtree.turned(own))[0].astype(np.float64), starts[:-1]) / np.log(10)
+            out.append(pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array([len(one) for one in tokens], pa.int64()), pa.array(known, pa.int64()), pa.array(logs, pa.float64()), pa.array(scores), pa.ListArray.from_arrays(ends_at, words), pa.ListArray.from_arrays(ends_at, times)],
+                ["doc_id", "n", "known", "logs", "score", "words", "times"],
+            ))
+        return pa.Table.from_batches(out)
+
+    met_chunks = texts.drop("learnt").groupBy("chunk").cogroup(found.where("chunk IS NOT NULL").select("chunk", "bucket", "logs").groupBy("chunk"))
+    by_chunk = met_chunks.applyInArrow(work, "doc_id long, n long, known long, logs double, score double, words array<binary>, times array<long>")
+    scored = common.cut(by_chunk.withColumn("row", F.monotonically_increasing_id()))
     tails = scored.select("row", F.explode(F.arrays_zip("words", "times")).alias("tail")).select("row", "tail.words", "tail.times")
     met = tails.join(counts, F.col("words") == F.col("word"))
     looked_up = met.groupBy("row").agg(F.sum("times").alias("more"), F.sum(F.col("times") * F.log10((F.col("count") + 1) / F.lit(size))).alias("more_logs"))

@@ -6,6 +6,10 @@ frequent and if their next-byte distribution diverges from that of their suffix
 Distributions are smoothed along the suffix chain (Witten-Bell), so no byte has
 probability zero. A text is scored by the longest suffix state at each byte.
 
+Contexts of up to SHALLOW bytes make a small tree that one machine holds (at
+most 256^3 codes); chances() answers for all longer ones from the codes that
+share their last SHALLOW + 1 bytes.
+
 Texts are their lower-cased tokens joined by blanks and closed by END; contexts
 at the start of a text are filled up with END.
 """
@@ -18,6 +22,7 @@ from dataclasses import dataclass, field
 import numpy as np
 
 DEPTH = 6
+SHALLOW = 2
 END = 10
 #: Divergence (in nats, times the context's count) that a context needs.
 LEAST_GAIN = 12.0
@@ -62,7 +67,22 @@ def counted(codes: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.nda
     return codes[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
-class _Table:
+_MIX = 0x9E3779
+_MIX_BACK = pow(_MIX, -1, 1 << 24)
+
+
+def turned(codes: np.ndarray) -> np.ndarray:
+    """Codes with the context's last three bytes first, mixed: equal ones are together in order, and their top bits deal them evenly."""
+    near = (((codes >> np.uint64(8)) & np.uint64(0xFFFFFF)) * np.uint64(_MIX)) & np.uint64(0xFFFFFF)
+    return (near << np.uint64(32)) | ((codes >> np.uint64(32)) << np.uint64(8)) | (codes & np.uint64(0xFF))
+
+
+def turned_back(codes: np.ndarray) -> np.ndarray:
+    near = ((codes >> np.uint64(32)) * np.uint64(_MIX_BACK)) & np.uint64(0xFFFFFF)
+    return (((codes >> np.uint64(8)) & np.uint64(0xFFFFFF)) << np.uint64(32)) | (near << np.uint64(8)) | (codes & np.uint64(0xFF))
+
+
+class Table:
     """Open addressing from 64-bit keys to floats."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray) -> None:
@@ -110,12 +130,12 @@ class Model:
     state_keys: np.ndarray
     state_logs: np.ndarray
     depth: int = DEPTH
-    _tables: tuple[_Table, _Table] | None = field(default=None, repr=False)
+    _tables: tuple[Table, Table] | None = field(default=None, repr=False)
     _cache: tuple[np.ndarray, np.ndarray] | None = field(default=None, repr=False)
 
     def _logs(self, codes: np.ndarray) -> np.ndarray:
         if self._tables is None:
-            self._tables = _Table(self.seen_keys, self.seen_logs), _Table(self.state_keys, self.state_logs)
+            self._tables = Table(self.seen_keys, self.seen_logs), Table(self.state_keys, self.state_logs)
         seen, states = self._tables
         logs, spared = np.full(len(codes), -np.log(_SYMBOLS)), np.zeros(len(codes))
         left, asked = np.zeros(0, np.int64), np.arange(len(codes))  # those whose longest state is found, and the others
@@ -152,10 +172,11 @@ class Model:
         return np.add.reduceat(logs, starts[:-1]) / np.log(10) if len(logs) else np.zeros(0)
 
 
-def grow(levels: Sequence[tuple[np.ndarray, np.ndarray]], least_gain: float = LEAST_GAIN) -> Model:
+def grow(levels: Sequence[tuple[np.ndarray, np.ndarray]], least_gain: float = LEAST_GAIN, also: np.ndarray | None = None) -> Model:
     """The tree from, for each depth, the codes (context and next byte) of its frequent contexts and their counts.
 
-    A level must hold the suffixes of the next one's contexts.
+    A level must hold the suffixes of the next one's contexts. Of the last
+    level, the contexts in also are kept whatever their gain.
     """
     one = np.uint64(8)
     ordered = []
@@ -177,6 +198,8 @@ def grow(levels: Sequence[tuple[np.ndarray, np.ndarray]], least_gain: float = LE
         groups.append(group)
         gains.append(gain)
     kept = [gain >= least_gain for gain in gains]
+    if also is not None:
+        kept[-1] |= np.isin(totals[-1][0], also)
     for depth in range(len(ordered) - 1, 0, -1):
         suffixes = np.unique(totals[depth][0][kept[depth]] & np.uint64((1 << (8 * (depth - 1))) - 1))
         kept[depth - 1][np.searchsorted(totals[depth - 1][0], suffixes)] = True
@@ -196,4 +219,61 @@ def grow(levels: Sequence[tuple[np.ndarray, np.ndarray]], least_gain: float = LE
         state_keys.append(_tagged(contexts[kept[depth]], depth) | np.uint64(1 << 63))
         state_logs.append(np.log(kinds / (total + kinds))[kept[depth]])
     flat = lambda parts, kind: np.concatenate([*parts, np.zeros(0)]).astype(kind) if kind != np.uint64 else np.concatenate([*parts, np.zeros(0, np.uint64)])
-    return Model(flat(seen_keys, np.uint64), flat(seen_logs, np.float32), flat(state_keys, np.uint64), flat(state_logs, np.float32))
+    return Model(flat(seen_keys, np.uint64), flat(seen_logs, np.float32), flat(state_keys, np.uint64), flat(state_logs, np.float32), len(levels) - 1)
+
+
+def _grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct sorted keys, and the number of each key among them."""
+    first = np.concatenate([[True], keys[1:] != keys[:-1]])
+    return keys[first], np.cumsum(first) - 1
+
+
+def chances(codes: np.ndarray, counts: np.ndarray, wider: np.ndarray, shares: np.ndarray, least: int, least_gain: float = LEAST_GAIN) -> tuple[np.ndarray, np.ndarray]:
+    """Natural logs of codes whose longest state is deeper than SHALLOW, NaN for the others; and the suffixes of SHALLOW bytes of states.
+
+    codes are distinct and sorted, counts 0 where a code is only asked for; all
+    codes of a corpus that share their context's last SHALLOW + 1 bytes must be
+    there. wider and shares are, for each code, the smoothed chance and the
+    share of its last byte after the SHALLOW bytes before it.
+    """
+    if not len(codes):
+        return np.zeros(0), np.zeros(0, np.uint64)
+    levels = [(codes, counts.astype(np.float64))]
+    inner = []  # from the codes of a level to those of the level above
+    for depth in range(DEPTH - 1, SHALLOW, -1):
+        shorter, back = np.unique(levels[-1][0] & np.uint64((1 << (8 * (depth + 1))) - 1), return_inverse=True)
+        inner.append(back)
+        levels.append((shorter, np.bincount(back, levels[-1][1], len(shorter))))
+    to_top = np.arange(len(codes))
+    for back in inner:
+        to_top = back[to_top]
+    first = np.zeros(len(levels[-1][0]), np.int64)
+    first[to_top] = np.arange(len(codes))
+    wider, shares = wider[first], shares[first]
+    inner.reverse()
+    levels.reverse()
+    smooth, states = [], []
+    for k, (own, number) in enumerate(levels):
+        if k:
+            wider, shares = smooth[-1][inner[k - 1]], shares[inner[k - 1]]
+        contexts, group = _grouped(own >> np.uint64(8))
+        total = np.bincount(group, number)
+        kinds = np.bincount(group, number > 0)
+        live = total >= least
+        smooth.append(np.where(live[group], (number + kinds[group] * wider) / np.maximum(total + kinds, 1)[group], wider))
+        seen = (number > 0) & live[group]
+        share = number / np.maximum(total, 1)[group]
+        gain = np.bincount(group[seen], number[seen] * np.log(share[seen] / shares[seen]), len(contexts))
+        states.append([contexts, group, live & (gain >= least_gain)])
+        shares = share
+    for k in range(len(levels) - 1, 0, -1):
+        contexts, _, kept = states[k]
+        at = np.searchsorted(states[k - 1][0], contexts[kept] & np.uint64((1 << (8 * (SHALLOW + k))) - 1))
+        states[k - 1][2][at] = True
+    logs = np.full(len(levels[0][0]), np.nan)
+    for k in range(len(levels)):
+        if k:
+            logs = logs[inner[k - 1]]
+        kept = states[k][2][states[k][1]]
+        logs[kept] = np.log(smooth[k][kept])
+    return logs, np.unique(states[0][0][states[0][2]] & np.uint64((1 << (8 * SHALLOW)) - 1))

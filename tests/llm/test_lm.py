@@ -123,6 +123,20 @@ def test_scores_against_a_walk():
     assert np.allclose(got, [model.score([suffixtree.tokens_of(t)])[0] for t in texts])
 
 
+def test_tree_of_all_frequent_contexts_dealt_over_partitions(spark, monkeypatch):
+    rare = "quixotic zephyr jumbled vexing sphinxes"  # under 2e-6 of all bytes, four times
+    texts = ["the cat sat on the mat and the dog sat on a log"] * 100 + ["alpha beta gamma delta " * 2500] * 40 + [rare] * 4
+    rows = [(i, text) for i, text in enumerate(texts)] + [(1000, rare), (1001, "zephyr ÿ the cat"), (1002, ""), (1003, None)]
+    assert 2e-6 * sum(len(t) for t in texts) > lm.LEAST_COUNT
+    monkeypatch.setattr(lm, "CHUNK", 400_000)
+    from pyspark.sql import functions as F
+
+    got = {r.doc_id: r.score for r in lm.score(spark.createDataFrame(rows, "doc_id long, text string"), F.col("doc_id") < 1000).collect()}
+    model = suffixtree.grow(levels(texts, lm.LEAST_COUNT))
+    expected = model.score([suffixtree.tokens_of(t) for _, t in rows])
+    assert np.allclose([got[i] for i, _ in rows], expected, rtol=1e-5, atol=1e-4)
+
+
 def test_better_than_the_baseline_on_held_out_texts(spark, sf):
     rows = lm.op10_suffix_tree(spark, sf.replace("sf0.001", "sf0.1")).where("held_out").collect()
     assert sum(r.score for r in rows) > sum(r.base_score for r in rows)

@@ -55,7 +55,7 @@ ALLOWED = re.compile(
     r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"
     r"|[0-9_=+/-]+"
     r"|[A-Za-z_=+/-]+"
-    r"|(?:[A-Za-z]*[0-9]{0,4}[/_=+-]+)+[A-Za-z]*[0-9]{0,4}"
+    r"|(?:[A-Za-z]*[0-9]{0,4}[/_=+-]++)+[A-Za-z]*[0-9]{0,4}"
     r"|.*(?:0123456789|abcdefghij|ABCDEFGHIJ|EXAMPLE|example|PLACEHOLDER|placeholder|xxxx|XXXX).*"
 )
 

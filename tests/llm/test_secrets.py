@@ -1,6 +1,7 @@
 import hashlib
 import math
 import re
+import time
 from collections import Counter
 
 from hypothesis import given, settings
@@ -68,6 +69,12 @@ def test_method_adds_and_allow_list_suppresses():
         assert secrets.find(f"see {harmless} now") == []
 
 
+def test_allow_list_is_quick_on_separators():
+    began = time.process_time()
+    assert not secrets.ALLOWED.fullmatch("-" * 24 + "a1b2c") and secrets.ALLOWED.fullmatch("-" * 24 + "ab12")
+    assert time.process_time() - began < 0.5
+
+
 def test_frames(spark):
     frame = odd.clashing(odd.docs(spark, [(9, "token=abcdefg", "en", "a", 13)]), "secret_spans", "kind")
     got = secrets.scan(frame)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,13 +30,37 @@ def fresh_name(frame: DataFrame, base: str) -> str:
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir as the session has it; a temporary folder where it is unset, as in tests."""
+    """spark.checkpoint.dir as the session has it; where it is unset, a temporary folder if all runs on this machine, else an error."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="spanloom-checkpoint-"))
+        folder = context.getConf().get("spark.checkpoint.dir")
+        if folder is None:
+            if not (context.master == "local" or context.master.startswith("local[")):
+                raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+            folder = tempfile.mkdtemp(prefix="spanloom-checkpoint-")
+        context.setCheckpointDir(folder)
     return context.getCheckpointDir()
 
 
+def _path(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder's name in the shared checkpoint folder; it is deleted when the application ends."""
+    folder = f"{checkpoint_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path, store = _path(spark, folder)
+    store.mkdirs(path)
+    store.deleteOnExit(path)
+    return folder
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    path, store = _path(spark, folder)
+    store.delete(path, True)
+
+
 def cut(frame: DataFrame) -> DataFrame:
     """The frame, written to the shared checkpoint folder and read from there."""
     checkpoint_folder(frame.sparkSession)

@@ -22,7 +22,6 @@ empty table gives no sequences.
 from __future__ import annotations
 
 import base64
-import uuid
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -128,7 +127,7 @@ def materialise(docs: DataFrame, ranks: bytes, text: str = "text", length: int =
     driver.
     """
     spark = docs.sparkSession
-    folder = f"{common.checkpoint_folder(spark)}/packed-{uuid.uuid4().hex}"
+    folder = common.scratch(spark, "packed") + "/sequences"
     pack(docs, ranks, text, length).write.parquet(folder)
     packed = spark.read.schema("part int, place long, n_tokens int, doc_ids array<long>, tokens binary").parquet(folder)
     counts = {row["part"]: row["count"] for row in packed.groupBy("part").count().collect()}

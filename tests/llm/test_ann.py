@@ -18,18 +18,48 @@ def brute(rows, every, k):
 
 def test_pigeonhole_is_exact():
     rng = np.random.default_rng(0)
-    codes, asked = rng.integers(0, 2**63, 400, dtype=np.uint64), rng.integers(0, 2**63, 30, dtype=np.uint64)
-    codes[:50] = asked[0] ^ (np.uint64(1) << rng.integers(0, 64, 50).astype(np.uint64))
+    codes, asked = rng.integers(0, 2**63, (400, 2), dtype=np.uint64), rng.integers(0, 2**63, (30, 2), dtype=np.uint64)
+    codes[:50] = asked[0]
+    codes[:50, 0] ^= np.uint64(1) << rng.integers(0, 64, 50).astype(np.uint64)
     index = ann.Index(codes)
-    for radius in (0, 1, 2, 3, 5, 12, 24, 31, 64):
-        assert (index.within(asked, radius) == (np.bitwise_count(asked[:, None] ^ codes[None, :]) <= radius)).all()
+    for radius in (0, 1, 2, 7, 8, 9, 24, 48, 55, 63, 128):
+        number, row, probed = index.within(asked, radius)
+        expected = np.argwhere(np.bitwise_count(asked[:, None] ^ codes[None, :]).sum(axis=2) <= radius)
+        assert sorted(zip(number, row)) == sorted(map(tuple, expected)) and (probed >= np.bincount(number, minlength=30)).all()
+    assert index.within(asked, 7)[2].sum() < 200  # of 12,000
+
+
+def test_clustered_vectors_are_probed_sparsely(spark):
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(40, 32))
+    rows = {i: (centres[i % 40] + 0.05 * rng.normal(size=32)).astype(np.float32).astype(float) for i in range(4000)}
+    got, probed, ranked = {}, [], []
+    for r in ann.nearest(frame(spark, [(i, [float(x) for x in v], 0) for i, v in rows.items()])).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+        probed.append(r.n_probed)
+        ranked.append(r.n_ranked)
+    assert np.mean(probed) < 2000 and np.mean(ranked) < 400 and (np.array(ranked) <= probed).all()
+    expected = brute(rows, 20, 20)
+    assert np.mean([len(got[q] & {i for i, _ in best}) / 20 for q, best in expected.items()]) >= 0.9
+
+
+def test_several_vectors_of_an_id_and_clashing_columns(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 2.0]), (0, [1.0, 0.0]), (3, [1.0, 1.0]), (4, [3.0])]
+    data = spark.createDataFrame([(*row, "v", 9, "b", 7, 1, 2.0) for row in rows], "vec_id long, embedding array<double>, vector string, asker long, block string, part int, rank int, score double")
+    got = sorted((r.query_id, r.vec_id, r.score) for r in ann.nearest(data).collect())
+    assert got == [(0, 0, 0.0), (0, 0, 0.0), (0, 3, 1.0), (0, 3, 2.0), (0, 4, 0.0), (0, 4, 3.0)]
+
+
+def test_very_large_components(spark):
+    rows = [(i, [1e300 * (1 + i % 3), -1e300, float(i)], 0) for i in range(60)]
+    assert ann.nearest(frame(spark, rows).withColumn("embedding", ann.F.col("embedding").cast("array<double>"))).count() >= 0
 
 
 def test_odd_rows_ties_and_copies(spark):
     nan, inf = float("nan"), float("inf")
     good = {i: np.array([1.0 + (i % 3), float(i % 5), 0.5]) for i in range(60)}  # many equal vectors
     rows = [(i, [float(x) for x in v], 0) for i, v in good.items()]
-    odd = [(100, None, 0), (120, [], 0), (140, [0.0, 0.0, 0.0], 0), (160, [1.0, None, 2.0], 0), (180, [nan, 1.0, 1.0], 0), (200, [inf, 1.0, 1.0], 0), (None, [1.0, 1.0, 1.0], 0), (220, [1.0, 2.0], 0)]
+    odd = [(100, None, 0), (120, [], 0), (140, [0.0, 0.0, 0.0], 0), (160, [1.0, None, 2.0], 0), (180, [nan, 1.0, 1.0], 0), (200, [inf, 1.0, 1.0], 0), (None, [1.0, 1.0, 1.0], 0)]
     got = {}
     for r in ann.nearest(frame(spark, rows + odd + rows[:5])).orderBy("query_id", "rank").collect():
         got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))

@@ -4,19 +4,26 @@ Three rules find secrets by their format: assignments to a telling name, access
 keys, and long lower-case hex runs. On top, every candidate string (a run of
 token characters) is slid over with a window per character class; the Shannon
 entropy of the window comes from character counts that are updated by one
-character leaving and one entering. Windows over the class's threshold are
-joined to spans, unless the allow-list knows the candidate as harmless.
+character leaving and one entering. Windows over the class's threshold are joined to
+spans, unless the allow-list knows half of the window's characters or more: it
+is asked for the parts between separators, so a harmless word beside a secret
+doesn't hide it. A window needs two digits and two letters; keys of letters
+alone are not told from words.
 
 Spans are (kind, start, end) in code points, end exclusive. A null text has no
-spans, like an empty one. Rows are scanned one by one, so repeated rows,
-ties and extra columns pass through unchanged.
+spans, like an empty one; an empty table gives no rows. Rows are scanned one by
+one, so repeated rows, ties and extra columns pass through unchanged; a column
+of the added one's name is replaced. Whole texts are scanned, in time that
+grows with their length alone.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections.abc import Callable, Iterator
+from itertools import accumulate
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -50,19 +57,25 @@ CLASSES = (
     EntropyClass("hex", re.compile(r"[0-9A-Fa-f]{24,}"), 24, 3.2),
     EntropyClass("base64", re.compile(r"[A-Za-z0-9+/_=-]{20,}"), 20, 3.8),
 )
-#: Candidates that are no secrets: UUIDs, numbers, words and paths of words, separators, alphabets, placeholders.
-ALLOWED = re.compile(
-    r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"
-    r"|[0-9_=+/-]+"
-    r"|[A-Za-z_=+/-]+"
-    r"|(?:[A-Za-z]*[0-9]{0,4}[/_=+-]++)+[A-Za-z]*[0-9]{0,4}"
-    r"|.*(?:0123456789|abcdefghij|ABCDEFGHIJ|EXAMPLE|example|PLACEHOLDER|placeholder|xxxx|XXXX).*"
-)
+_UUID = re.compile(r"(?<![0-9A-Za-z])[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}(?![0-9A-Za-z])")
+_PART = re.compile(r"[0-9A-Za-z]+")
+#: Parts that are no secrets: numbers, words that may end in a short number, and what holds an alphabet or a placeholder.
+_PLAIN = re.compile(r"[0-9]+|[A-Za-z]*[0-9]{0,4}")
+_PLACEHOLDER = re.compile(r"0123456789|abcdefghij|ABCDEFGHIJ|EXAMPLE|example|PLACEHOLDER|placeholder|xxxx|XXXX")
+
+
+def harmless(candidate: str) -> list[tuple[int, int]]:
+    """The allow-list: stretches of the candidate that are no secrets, apart from separators."""
+    found = [m.span() for m in _UUID.finditer(candidate)]
+    return found + [m.span() for m in _PART.finditer(candidate) if _PLAIN.fullmatch(part := m.group()) or _PLACEHOLDER.search(part)]
 
 
-def entropy_spans(candidate: str, classes: tuple[EntropyClass, ...] = CLASSES, allowed: re.Pattern | None = ALLOWED) -> list[tuple[int, int]]:
+def entropy_spans(candidate: str, classes: tuple[EntropyClass, ...] = CLASSES, allowed: Callable[[str], list[tuple[int, int]]] | None = harmless) -> list[tuple[int, int]]:
     """Stretches of the candidate that windows of high entropy cover, joined where they touch."""
-    if allowed is not None and allowed.fullmatch(candidate):
+    known = bytearray(len(candidate))
+    for start, end in allowed(candidate) if allowed else ():
+        known[start:end] = b"\1" * (end - start)
+    if all(known[a:b].find(0) < 0 for a, b in map(re.Match.span, _PART.finditer(candidate))):
         return []
     found: list[tuple[int, int]] = []
     for kind in classes:
@@ -72,13 +85,14 @@ def entropy_spans(candidate: str, classes: tuple[EntropyClass, ...] = CLASSES, a
             text, first = run.group(), run.start()
             counts: dict[str, int] = {}
             total = 0.0  # sum of n log2 n over the window's characters: the entropy is log2(window) - total / window
-            digits = letters = 0
+            digits = letters = plain = 0
             for at, entering in enumerate(text):
                 n = counts.get(entering, 0)
                 total += cost[n + 1] - cost[n]
                 counts[entering] = n + 1
                 digits += entering.isdigit()
                 letters += entering.isalpha()
+                plain += known[first + at]
                 if at >= kind.window:
                     leaving = text[at - kind.window]
                     n = counts[leaving]
@@ -86,7 +100,8 @@ def entropy_spans(candidate: str, classes: tuple[EntropyClass, ...] = CLASSES, a
                     counts[leaving] = n - 1
                     digits -= leaving.isdigit()
                     letters -= leaving.isalpha()
-                if at + 1 >= kind.window and digits >= 2 and letters >= 2 and total <= limit + 1e-9:
+                    plain -= known[first + at - kind.window]
+                if at + 1 >= kind.window and digits >= 2 and letters >= 2 and 2 * plain < kind.window and total <= limit + 1e-9:
                     start, end = first + at + 1 - kind.window, first + at + 1
                     if found and found[-1][0] <= start <= found[-1][1]:
                         found[-1] = (found[-1][0], max(end, found[-1][1]))
@@ -117,9 +132,10 @@ def find(text: str | None) -> list[tuple[int, int, int]]:
         last = first
         while last < len(assigned) and assigned[last][0] < run.end():
             last += 1
-        covered = known + assigned[first:last]
+        covered = sorted(known + assigned[first:last])
+        starts, reach = [a for a, _, _ in covered], [0, *accumulate((b for _, b, _ in covered), max)]
         for start, end in entropy_spans(candidate):
-            if not any(a < at + end and b > at + start for a, b, _ in covered):
+            if reach[bisect_left(starts, at + end)] <= at + start:
                 spans.append((at + start, at + end, 3))
     return sorted(spans, key=lambda span: (span[0], span[2]))
 

@@ -6,7 +6,6 @@ read again. All stages but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -61,10 +60,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of sf_dir."""
-    folder = f"{common.checkpoint_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    """All stages over the documents of sf_dir. A stage's documents are removed once the next stage's are written."""
+    folder, before = common.scratch(spark, "pipeline"), None
     docs = common.table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
+        if before:
+            common.remove(spark, before)
+        before = f"{folder}/{name}"
     return docs

@@ -4,13 +4,18 @@ A text is the bag of its character n-grams. Every n-gram hashes to one row of
 an embedding table; the rows of a text are averaged (with inverse-frequency
 weights, so that the few telling n-grams of a long text are not drowned) and a
 linear softmax turns the average into a label. Table and softmax are trained
-jointly, in numpy, on the driver, over a bounded sample of labelled rows. A
-misspelt word shares most n-grams with the word it stands for, so it shares its
-vectors too.
+jointly, in numpy, in one task, over a bounded sample of labelled rows; the
+driver holds only what the task returns. A misspelt word shares most n-grams
+with the word it stands for, so it shares its vectors too.
 
 Once trained, ``softmax(W . mean(E))`` needs of every n-gram only its dot
 product with the softmax's weight, so what executors receive is one float per
 hash row (``2 ** BUCKET_BITS`` floats, whatever the corpus).
+
+A null or empty text has the score of the model's bias. Whole texts are scored,
+whatever their length; equal texts, and so repeated rows, have equal scores. An
+empty table of documents gives no rows, one of labels a model that gives 0.5 to
+every text. Columns that the operator adds replace those of the same name.
 """
 
 from __future__ import annotations
@@ -77,12 +82,15 @@ def grams(texts: Sequence[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]
     heads = np.flatnonzero((data[:-1] == _SPACE) & (data[1:] != _SPACE))
     if len(heads):
         place = np.arange(len(data)) - np.repeat(np.concatenate([[0], heads]), np.diff(np.concatenate([[0], heads, [len(data)]])))
-        part = np.where(data == _SPACE, np.uint64(0), _PLACES[np.minimum(place, len(_PLACES) - 1)] * data)
+        factor = _PLACES[place % len(_PLACES)]
+        if place.max() >= len(_PLACES):  # another odd factor for every further turn, so each place has its own
+            factor = factor * (2 * (place // len(_PLACES)) + 1).astype(np.uint64)
+        part = np.where(data == _SPACE, np.uint64(0), factor * data)
         yield ((np.add.reduceat(part, heads) * _MULTIPLIER) >> shift).astype(np.int32), owner[heads]
 
 
 class _Bags:
-    """Each text's distinct hash rows and their counts, in flat arrays of _CHUNK texts."""
+    """Each text's distinct hash rows with their counts, later their shares, in flat arrays of _CHUNK texts."""
 
     def __init__(self, texts: Iterable[str | None]) -> None:
         self.chunks: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -91,20 +99,24 @@ class _Bags:
         while some := list(islice(texts, _CHUNK)):
             codes = [(owner.astype(np.int64) << BUCKET_BITS) | ids for ids, owner in grams(some)]
             codes, counts = np.unique(np.concatenate(codes or [np.zeros(0, np.int64)]), return_counts=True)
-            ends = np.searchsorted(codes, np.arange(1, len(some) + 1) << BUCKET_BITS)
-            self.chunks.append(((codes & ((1 << BUCKET_BITS) - 1)).astype(np.int32), np.minimum(counts, 255).astype(np.uint8), ends))
+            ends = np.searchsorted(codes, np.arange(len(some) + 1) << BUCKET_BITS)
+            self.chunks.append(((codes & ((1 << BUCKET_BITS) - 1)).astype(np.int32), counts.astype(np.int32), ends))
             self.size += len(some)
 
     def __getitem__(self, i: int) -> tuple[np.ndarray, np.ndarray]:
-        ids, counts, ends = self.chunks[i // _CHUNK]
-        part = slice(ends[i % _CHUNK - 1] if i % _CHUNK else 0, ends[i % _CHUNK])
-        return ids[part], counts[part]
+        ids, shares, ends = self.chunks[i // _CHUNK]
+        part = slice(ends[i % _CHUNK], ends[i % _CHUNK + 1])
+        return ids[part], shares[part]
 
-    def keep(self, wanted: np.ndarray) -> None:
-        """Drops the hash rows that aren't wanted."""
+    def share(self, weight: np.ndarray, place: np.ndarray) -> None:
+        """Drops hash rows without weight, renames the others to their places, and turns counts into shares of a text's weight."""
         for k, (ids, counts, ends) in enumerate(self.chunks):
-            known = wanted[ids]
-            self.chunks[k] = ids[known], counts[known], np.concatenate([[0], np.cumsum(known)])[ends]
+            known = weight[ids] > 0
+            ends = np.concatenate([[0], np.cumsum(known)])[ends]
+            ids, part = ids[known], weight[ids[known]] * counts[known]
+            owner = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
+            total = np.bincount(owner, part, len(ends) - 1)
+            self.chunks[k] = place[ids], (part / total[owner]).astype(np.float32), ends
 
 
 @dataclass
@@ -128,7 +140,7 @@ class Model:
 def train(texts: Iterable[str | None], labels: Sequence[int], seed: int = 7) -> Model:
     """Fits embeddings and softmax by stochastic gradient descent with per-row adaptive steps.
 
-    labels may be filled while texts are read.
+    labels may be filled while texts are read. Every text is a step of its own.
     """
     rng = np.random.default_rng(seed)
     docs = _Bags(texts)
@@ -138,34 +150,38 @@ def train(texts: Iterable[str | None], labels: Sequence[int], seed: int = 7) ->
     for ids, _, _ in docs.chunks:
         seen += np.bincount(ids, minlength=size)
     weight = ((seen >= MIN_TEXTS) / (1.0 + COMMON * seen / max(1, docs.size))).astype(np.float32)
-    docs.keep(seen >= MIN_TEXTS)
-    table = rng.standard_normal((size, DIM), np.float32) * np.float32(0.05)
-    softmax = (rng.standard_normal((2, DIM)) * 0.3).astype(np.float32)
+    live = np.flatnonzero(weight)
+    place = np.zeros(size, np.int32)
+    place[live] = np.arange(len(live))
+    docs.share(weight, place)
+    pulls = np.zeros(size, np.float32)
     if not docs.size:
-        empty = np.zeros(size, np.float32)
-        return Model(empty, empty, 0.0)
+        return Model(pulls, pulls, 0.0)
+    table = rng.standard_normal((len(live), DIM), np.float32) * np.float32(0.05)
+    softmax = (rng.standard_normal((2, DIM)) * 0.3).astype(np.float32)
     bias = np.log(np.bincount(labels, minlength=2) + 1.0)
-    speed = np.full(size, 1e-4, np.float32)
+    speed = np.full(len(live), 1e-4, np.float32)
     for epoch in range(EPOCHS):
-        step = LEARNING_RATE * (1 - epoch / EPOCHS)
+        step = np.float32(LEARNING_RATE * (1 - epoch / EPOCHS))
         for i in rng.permutation(docs.size):
-            ids, counts = docs[i]
+            ids, share = docs[i]
             if not len(ids):
                 continue
-            share = weight[ids] * counts
-            share /= share.sum()
-            mean = share @ table[ids]
+            vectors = table[ids]
+            mean = share @ vectors
             logits = softmax @ mean + bias
             p = np.exp(logits - logits.max())
             p /= p.sum()
             p[labels[i]] -= 1
-            pull = softmax.T @ p
-            speed[ids] += (share * share) * (pull @ pull)
+            pull = softmax.T @ p.astype(np.float32)
+            fast = speed[ids] + share * share * (pull @ pull)
+            speed[ids] = fast
             softmax -= (0.1 * step * np.outer(p, mean)).astype(np.float32)
             bias -= 0.01 * step * p
-            table[ids] -= ((step * share / np.sqrt(speed[ids]))[:, None] * pull).astype(np.float32)
-    logit = table @ (softmax[1] - softmax[0])
-    return Model(weight.astype(np.float32), (weight * logit).astype(np.float32), float(bias[1] - bias[0]))
+            vectors -= (step * share / np.sqrt(fast))[:, None] * pull
+            table[ids] = vectors
+    pulls[live] = weight[live] * (table @ (softmax[1] - softmax[0]))
+    return Model(weight, pulls, float(bias[1] - bias[0]))
 
 
 def fit(docs: DataFrame, labels: DataFrame, keep: Column | None = None) -> Model:
@@ -186,16 +202,24 @@ def fit(docs: DataFrame, labels: DataFrame, keep: Column | None = None) -> Model
     rows = (
         docs.select("doc_id", "text").where(F.length("text") <= MAX_TRAINING_CHARS)
         .join(F.broadcast(chosen), "doc_id")
-        .dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id")
+        .dropDuplicates(["doc_id"])
     )
-    labels: list[int] = []
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        labels: list[int] = []
+
+        def texts() -> Iterator[str]:
+            for batch in batches:
+                labels.extend(min(1, max(0, one)) for one in batch.column(1).to_pylist())
+                yield from batch.column(0).to_pylist()
 
-    def texts() -> Iterator[str]:
-        for row in rows.toLocalIterator():  # a partition at a time
-            labels.append(min(1, max(0, row.toxic)))
-            yield row.text
+        model = train(texts(), labels)
+        yield pa.RecordBatch.from_arrays([pa.array([model.weight.tobytes()], pa.binary()), pa.array([model.pull.tobytes()], pa.binary()), pa.array([model.bias])], ["weight", "pull", "bias"])
 
-    return train(texts(), labels)
+    alone = rows.repartition(1).sortWithinPartitions(F.xxhash64("doc_id"), "doc_id").select("text", "toxic")
+    found = common.by_batches(alone, work, "weight binary, pull binary, bias double").collect()  # a row of two floats for every hash row
+    if not found:
+        return train([], [])
+    return Model(np.frombuffer(found[0]["weight"], np.float32), np.frombuffer(found[0]["pull"], np.float32), found[0]["bias"])
 
 
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD, names: tuple[str, str] = ("score", "predicted")) -> DataFrame:

@@ -8,19 +8,23 @@ ordered similarity of SIMILARITY or more. Classes are the connected components
 of the links.
 
 A bucket (the nodes of one band key) is never expanded into all its pairs.
-First every member is compared with the bucket's one leader, which collapses
-groups of copies into components. Nodes of buckets that still hold several
-components then meet through a positional prefix filter: in one order of all
-shingles, rarest first, two texts of the required similarity share one of their
-first few shingles, at places that leave room for enough common ones. Only
-pairs of different components are formed, the most frequent component of a
-shingle not being paired with itself, so no link that could join two components
-is left out.
+All nodes are drawn in one order, and the first drawn of a bucket leads it. Every
+node is compared with one leader only, that of most of its buckets, which links
+a group of copies by at most one pair a node. Nodes of buckets that still hold
+several components then meet through an exact positional prefix filter: in one
+order of all shingles, rarest first, two texts of the required similarity share
+one of their first few shingles, at places that leave room for enough common
+ones. Only pairs of different components are formed, the most frequent
+component of a shingle not being paired with itself, so no link that could join
+two components is left out.
 
 Null texts and texts without a word of letters or digits that equal no other
 text are classes of their own; null and empty texts are never grouped. Repeated
-rows are in one class, since their texts are equal; other columns play no part.
-The class id is the smallest doc_id of the class (null ids apart).
+rows are in one class, since their texts are equal; other columns, whatever
+their names, play no part. Whole texts count, however long: all their shingles
+are sketched and aligned. An empty table has no classes. The class id is the
+smallest doc_id of the class (null ids apart); ties between rows of that id and
+text are broken by keeping one of them.
 """
 
 from __future__ import annotations
@@ -35,11 +39,12 @@ from pyspark.sql.window import Window
 
 from spanloom.llm import common, ordersketch
 
-#: Partitions of the frames of links and labels.
-LEAST_PARTS = 8
+#: Rows of links and labels in a partition, once there are more than the cores need.
 ROWS_PER_PART = 500_000
 
 
+#: Links (two digests, about 400 bytes in a union-find) that one task joins up.
+MAX_ONE_TASK_LINKS = 400_000
 #: Digests (about 60 bytes each) are broadcast up to this many; beyond, the join is shuffled.
 MAX_BROADCAST_ROWS = 200_000
 
@@ -107,14 +112,36 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return common.by_batches(joined, work, "a binary, b binary, similarity double")
 
 
+def _joined_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """node, label from links (a, b), by union-find: the larger root always hangs below the smaller."""
+    above: dict[bytes, bytes] = {}
+
+    def root(node: bytes) -> bytes:
+        while (up := above.setdefault(node, node)) != node:
+            above[node] = above[up]
+            node = up
+        return node
+
+    for batch in batches:
+        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            x, y = root(a), root(b)
+            above[max(x, y)] = min(x, y)
+    nodes = list(above)
+    yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.binary()), pa.array([root(node) for node in nodes], pa.binary())], ["node", "label"])
+
+
 def components(links: DataFrame) -> DataFrame:
     """node, label of every node that has links (a, b); label: the smallest node of its connected component.
 
-    Labels spread along links and then jump to their label's label, until none
-    changes; each round is cut to the shared folder.
+    Up to MAX_ONE_TASK_LINKS links are joined up by one task. Beyond, labels
+    spread along links and then jump to their label's label, until none changes;
+    each round is cut to the shared folder.
     """
+    links = common.cut(links.distinct())
+    if links.count() <= MAX_ONE_TASK_LINKS:
+        return common.cut(common.by_batches(links.select("a", "b").coalesce(1), _joined_up, "node binary, label binary"))
     both = common.cut(links.select("a", "b").union(links.select("b", "a")).toDF("node", "other").distinct())
-    parts = max(LEAST_PARTS, both.count() // ROWS_PER_PART)
+    parts = _parts(both, both.count())
     both = both.coalesce(parts)
     labels = common.cut(both.groupBy("node").agg(F.min("other").alias("least")).select("node", F.least("node", "least").alias("label")).coalesce(parts))
     while True:
@@ -180,31 +207,47 @@ def _joining(ranked: DataFrame, labels: DataFrame | None, first: bool) -> DataFr
     return met.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
 
 
+def _parts(frame: DataFrame, rows: int) -> int:
+    return max(2 * frame.sparkSession.sparkContext.defaultParallelism, rows // ROWS_PER_PART)
+
+
+def _led(shared: DataFrame) -> DataFrame:
+    """Pairs (a, b): every node with the leader of most of its buckets, if it isn't one itself there; of several, the first drawn."""
+    times = shared.where("node <> leader").groupBy("node", "leader").agg(F.count("*").alias("times"))
+    led = times.groupBy("node").agg(F.min(F.struct(-F.col("times"), F.xxhash64("leader"), "leader"))["leader"].alias("leader"))
+    return led.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
+
+
 def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The rows (doc_id, node) of docs, and the nodes' classes (node, label, class_id, first: the class's row that stays)."""
+    """The rows (doc_id, node) of docs, and the nodes' classes (node, label, class_id, first: the class's row that stays).
+
+    Buckets are cut before the members meet them, so that a bucket of very many
+    members is an uneven side of a plain join, which adaptive execution splits.
+    """
     sketched = common.cut(sketches(docs))
     nodes = common.cut(
         sketched.where("node IS NOT NULL").groupBy("node")
         .agg(F.min("doc_id").alias("doc_id"), F.max("keys").alias("keys"))
     )
+    parts = _parts(nodes, ordersketch.BANDS * nodes.count())
     members = nodes.select("node", F.explode("keys").alias("key"))
-    draw = F.struct(F.xxhash64("node", "key").alias("draw"), "node")
-    buckets = members.groupBy("key").agg(F.min(draw)["node"].alias("leader"), F.count("*").alias("size")).where("size > 1").drop("size")
-    shared = common.cut(members.join(buckets, "key"))
-    wanted = _small(common.cut(shared.select("node").distinct()))
+    draw = F.struct(F.xxhash64("node").alias("draw"), "node")
+    buckets = common.cut(members.groupBy("key").agg(F.min(draw)["node"].alias("leader"), F.count("*").alias("size")).where("size > 1").drop("size").coalesce(parts))
+    shared = common.cut(members.join(buckets, "key").coalesce(parts))
+    wanted = _small(common.cut(shared.select("node").distinct().coalesce(parts)))
     texts = common.cut(_shingled(docs.select(_digest("text").alias("node"), "text").join(wanted, "node", "left_semi").dropDuplicates(["node"])))
-    ordered = lambda pairs: pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    first = ordered(shared.where("node <> leader").select(F.col("node").alias("x"), F.col("leader").alias("y")))
-    done = common.cut(_verified(first, texts))
-    links = done.where(F.col("similarity") >= ordersketch.SIMILARITY).select("a", "b")
-    labels = components(links) if links.limit(1).count() else None
 
+    alike = F.col("similarity") >= ordersketch.SIMILARITY
+    done = common.cut(_verified(_led(shared), texts))
+    links = done.where(alike).select("a", "b")
+    labels = components(links) if links.limit(1).count() else None
     ranked = _ranked(shared, texts, labels)
     for earliest in (True, False):
         new = common.cut(_verified(_joining(ranked, labels, earliest).join(done, ["a", "b"], "left_anti"), texts))
-        more = new.where(F.col("similarity") >= ordersketch.SIMILARITY).select("a", "b")
+        more = new.where(alike).select("a", "b")
+        done = done.union(new)
         if more.limit(1).count():
-            links, done = links.union(more), done.union(new)
+            links = links.union(more)
             labels = components(links)
     named = _labelled(nodes.select("node", "doc_id"), labels)
     best = named.groupBy("label").agg(F.min("doc_id").alias("class_id"), F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "node")).alias("first"))

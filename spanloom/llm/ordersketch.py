@@ -37,8 +37,11 @@ def word_hashes(words: Sequence[str]) -> np.ndarray:
     sizes = np.array([len(part) for part in parts])
     data = np.frombuffer(b"".join(parts), np.uint8)
     heads = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    place = np.minimum(np.arange(len(data)) - np.repeat(heads, sizes), len(_PLACES) - 1)
-    return _mixed(np.add.reduceat(_PLACES[place] * (data + np.uint64(1)), heads))
+    place = np.arange(len(data)) - np.repeat(heads, sizes)
+    factor = _PLACES[place % len(_PLACES)]
+    if sizes.max() > len(_PLACES):  # another odd factor for every further turn, so each place has its own
+        factor = factor * (2 * (place // len(_PLACES)) + 1).astype(np.uint64)
+    return _mixed(np.add.reduceat(factor * (data + np.uint64(1)), heads))
 
 
 def shingle_hashes(words: Sequence[str]) -> np.ndarray:

@@ -109,6 +109,24 @@ def test_classes_against_brute_force(spark):
     assert got == classes_by_force(rows)
 
 
+def test_components_by_one_task_and_by_rounds(spark, monkeypatch):
+    rng = random.Random(3)
+    name = lambda i: bytes([i // 256, i % 256])
+    pairs = [(i, i + 1) for i in range(300, 340)] + [(rng.randrange(300), rng.randrange(300)) for _ in range(150)] + [(400, i) for i in range(401, 450)]
+    links = spark.createDataFrame([(name(a), name(b)) for a, b in pairs if a != b], "a binary, b binary")
+    found = []
+    for limit in (neardup.MAX_ONE_TASK_LINKS, 0):
+        monkeypatch.setattr(neardup, "MAX_ONE_TASK_LINKS", limit)
+        found.append(sorted((bytes(r.node), bytes(r.label)) for r in neardup.components(links).collect()))
+    assert found[0] == found[1] and len({label for _, label in found[0]}) < len(found[0]) / 2
+    assert all(label <= node for node, label in found[0])
+
+
+def test_long_words_differ_by_the_order_of_their_bytes():
+    a, b = "x" * 100 + "ab", "x" * 100 + "ba"
+    assert len(set(o.word_hashes([a, b, a]).tolist())) == 2
+
+
 def test_empty(spark):
     assert neardup.near_duplicates(odd.empty(spark)).count() == 0
     assert neardup.deduplicate(odd.empty(spark)).count() == 0

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 ROWS_PER_BATCH = 256
+BYTES_PER_BATCH = 16 << 20
 _shipped: set[str] = set()
 
 
@@ -30,7 +31,11 @@ def ship(spark: SparkSession) -> None:
 
 
 def by_batches(frame: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | T.StructType) -> DataFrame:
-    """mapInArrow in batches of at most ROWS_PER_BATCH rows, so that long texts fit a worker's memory."""
+    """mapInArrow in batches of at most ROWS_PER_BATCH rows and, but for a single longer row, about BYTES_PER_BATCH bytes.
+
+    So long texts fit a worker's memory. Both limits are settings of the session.
+    """
     ship(frame.sparkSession)
     frame.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
+    frame.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BYTES_PER_BATCH))
     return frame.mapInArrow(work, schema)

@@ -4,8 +4,8 @@ Four base rules find e-mail and IP addresses, card and phone numbers by their
 exact formats. Beside them, generators of high recall propose overlapping spans
 of looser formats; every proposal gets format and context features, boosted
 trees (boosting.py, compiled to one expression) give its calibrated
-probability, and those over their kind's threshold are added unless they touch
-a base span or a better proposal. The trees are trained, when first needed, on
+probability, and those over their kind's threshold are added, the likeliest
+first, unless they touch a base span or one that was added before. The trees are trained, when first needed, on
 examples that this module writes from templates; their features come from the
 same expressions as those of the documents.
 
@@ -15,7 +15,8 @@ a match can't need to give anything back, so long texts neither overflow the
 matcher's stack nor take quadratic time.
 
 A null text has no spans, like an empty one. Every row stays one row; repeated
-rows repeat, and columns outside the result play no part.
+rows repeat, and columns outside the result play no part; an empty table gives
+no rows. Proposals of equal probability are taken by kind, then by place.
 """
 
 from __future__ import annotations
@@ -234,9 +235,12 @@ def scan(docs: DataFrame, text: str = "text", keep: list[str] | None = None, out
     touch = lambda a, b: (a["start"] < b["end"]) & (b["start"] < a["end"])
     sure = F.filter("spans", lambda s: s["base"])
     other = F.filter("spans", lambda s: ~s["base"])
-    better = lambda a, b: (a["p"] > b["p"]) | ((a["p"] == b["p"]) & ((a["order"] < b["order"]) | ((a["order"] == b["order"]) & (a["start"] < b["start"]))))
     parts = spans.select("kept", sure.alias("sure"), other.alias("other"))
-    added = F.filter("other", lambda s: ~F.exists("sure", lambda t: touch(s, t)) & ~F.exists("other", lambda t: touch(s, t) & better(t, s)))
+    free = F.filter("other", lambda s: ~F.exists("sure", lambda t: touch(s, t)))
+    names = ("order", "start", "end", "kind", "base", "p")
+    best_first = F.array_sort(F.transform(free, lambda s: F.struct((-s["p"]).alias("rank"), *(s[name].alias(name) for name in names))))
+    ordered = F.transform(best_first, lambda s: F.struct(*(s[name].alias(name) for name in names)))
+    added = F.aggregate(ordered, F.filter(ordered, lambda s: F.lit(False)), lambda kept, s: F.when(F.exists(kept, lambda t: touch(s, t)), kept).otherwise(F.concat(kept, F.array(s))))
     every = F.when(F.size("other") > 0, F.array_sort(F.concat("sure", added))).otherwise(F.col("sure"))
     return parts.select("kept.*", every.alias(out))
 

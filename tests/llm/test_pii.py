@@ -54,6 +54,23 @@ def test_method_adds_spans(spark):
     assert all(not (a.start < b.end and b.start < a.end) for spans in rows.values() for a in spans for b in spans if a != b and not (a.base and b.base))
 
 
+def test_a_dropped_proposal_hides_no_other(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    class Chain:  # the second proposal of three touches both others
+        def column(self, features):
+            return F.lit(0.9)
+
+    monkeypatch.setattr(pii, "model", lambda spark: (Chain(), dict.fromkeys(pii.KINDS, 0.5)))
+    text = "at DE12 1111 2222 3333 4444 5555 6666 or so"
+    rows = pii.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first().pii_spans
+    spans = sorted((s.start, s.end) for s in rows)
+    assert spans and all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+    proposed = pii._placed(pii._matches(spark.createDataFrame([(1, text)], "row long, text string"), "text", ["row"]), "row").where("kind IS NOT NULL").collect()
+    for p in proposed:  # whatever was left out touches something that stayed
+        assert any(p.start < b and a < p.end for a, b in spans)
+
+
 def test_redaction(spark):
     frame = spark.createDataFrame([(1, "to a@b.co!", "x"), (2, None, "x")], "doc_id long, text string, pii_spans string")
     assert [(r.doc_id, r.text, r.pii_spans) for r in pii.redact(frame).orderBy("doc_id").collect()] == [(1, "to ******!", "x"), (2, None, "x")]

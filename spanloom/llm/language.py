@@ -7,7 +7,9 @@ languages that contain it (and some false ones) in one probe. A text's n-grams
 are counted per language bit; the counts are corrected by each language's
 false-positive rate, which the share of set bits gives; the largest wins.
 
-The filter has a fixed size (SLOTS masks), whatever the corpus.
+The filter has a fixed size (1 << SLOT_BITS masks), whatever the corpus. An
+empty table gives no rows; without training rows every text is undetermined.
+Repeated rows are predicted alike, and learnt from once.
 """
 
 from __future__ import annotations
@@ -27,8 +29,9 @@ from spanloom.llm import common
 SLOT_BITS = 20
 HASHES = 3
 NGRAM = 5
-#: Bounds of the training sample: rows of a language, and characters of a text that may be one of them.
+#: Bounds of the training sample: rows and characters of a language, and characters of a text that may be one of them.
 ROWS_PER_LANGUAGE = 2_000
+CHARS_PER_LANGUAGE = 8_000_000
 MAX_TRAINING_CHARS = 100_000
 #: N-grams that fewer of a language's training texts have don't enter its filter.
 MIN_TEXTS = 3
@@ -116,7 +119,7 @@ def train(texts: Sequence[str | None], languages: Sequence[str]) -> Model:
 
 
 def fit(docs: DataFrame, keep: Column | None = None) -> Model:
-    """Learns from text and lang of at most ROWS_PER_LANGUAGE rows of each language, those with the smallest hashes.
+    """Learns from text and lang of at most ROWS_PER_LANGUAGE rows and CHARS_PER_LANGUAGE characters of each language, those with the smallest hashes.
 
     Rows with a null text or lang and texts over MAX_TRAINING_CHARS are not
     learnt from.
@@ -127,7 +130,9 @@ def fit(docs: DataFrame, keep: Column | None = None) -> Model:
     share = F.broadcast(keyed.groupBy("lang").agg(F.count("*").alias("n")).where(F.col("n") > 0))  # a row per language
     drawn = rows.select("lang", "text", F.xxhash64("text").alias("hash")).join(share, "lang")
     drawn = drawn.where(F.pmod("hash", F.lit(1 << 30)) < F.least(F.lit(1.0), F.lit(1.5) * ROWS_PER_LANGUAGE / F.col("n")) * (1 << 30)).dropDuplicates(["lang", "hash"])
-    first = drawn.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("hash", "text"))).where(F.col("rank") <= ROWS_PER_LANGUAGE)
+    order = Window.partitionBy("lang").orderBy("hash", "text")
+    first = drawn.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= ROWS_PER_LANGUAGE)
+    first = first.withColumn("chars", F.sum(F.length("text")).over(order)).where((F.col("chars") <= CHARS_PER_LANGUAGE) | (F.col("rank") == 1))
     found = first.select("text", "lang").collect()
     return train([row["text"] for row in found], [row["lang"] for row in found])
 

@@ -8,9 +8,10 @@ they fall inside. P needs no shared state, so every task computes its slots
 alone, and the same key gives the same order after a restart.
 
 Slots are dealt to shards by range, SEQUENCES_PER_SHARD to a shard, and lie in
-a shard in order; each is ``length * 2`` bytes (little-endian uint16), so slot s
-starts at byte ``(s % SEQUENCES_PER_SHARD) * length * 2`` of its shard, and a
-reader resumes from a slot number alone.
+a shard in order; partition i of the result is shard i. write_shards() writes a
+file for each shard, in which every sequence (little-endian uint16, as base64)
+takes stride() bytes, so slot s starts at byte ``(s % SEQUENCES_PER_SHARD) *
+stride()`` of its shard, and read_from() resumes from a slot number alone.
 
 Packing goes through the rows of each input partition in their order, so docs
 must come from a stored table (cut() otherwise); the tail of a partition is
@@ -145,7 +146,28 @@ def materialise(docs: DataFrame, ranks: bytes, text: str = "text", length: int =
 
     placed = common.by_batches(packed, work, "slot long, shard int, place_in_shard int, n_tokens int, doc_ids array<long>, tokens binary")
     shards = max(1, -(-total // per_shard))
-    return placed.repartition(shards, "shard").sortWithinPartitions("slot")
+    return placed.repartitionById(shards, "shard").sortWithinPartitions("slot")  # partition i is the range of shard i
+
+
+def stride(length: int = LENGTH) -> int:
+    """Bytes that a sequence takes in a shard's file: its base64 and a line end."""
+    return 4 * -(-2 * length // 3) + 1
+
+
+def write_shards(materialised: DataFrame, folder: str) -> None:
+    """One file a shard, numbered by shard, its sequences in slot order at a fixed stride; on any store that Spark writes to."""
+    materialised.select(F.translate(F.base64("tokens"), "\r\n", "")).write.text(folder)
+
+
+def read_from(spark: SparkSession, folder: str, slot: int = 0, length: int = LENGTH, per_shard: int = SEQUENCES_PER_SHARD) -> DataFrame:
+    """slot, tokens from a slot on: earlier shards' files aren't read, and the place in a file follows from the slot alone."""
+    wide = stride(length)
+    files = spark.read.format("binaryFile").load(folder).withColumn("shard", F.regexp_extract(F.col("path"), r"part-([0-9]+)-", 1).cast("long"))
+    files = files.where(F.col("shard") >= slot // per_shard).select("shard", "content")
+    places = F.sequence(F.lit(0), (F.length("content") / wide).cast("int") - 1)
+    rows = files.where(F.length("content") > 0).select("content", "shard", F.explode(places).alias("place"))
+    line = F.substring("content", F.col("place") * wide + 1, F.lit(wide - 1)).cast("string")
+    return rows.select((F.col("shard") * per_shard + F.col("place")).alias("slot"), F.unbase64(line).alias("tokens")).where(F.col("slot") >= slot)
 
 
 def shards(materialised: DataFrame) -> DataFrame:

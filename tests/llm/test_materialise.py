@@ -53,6 +53,18 @@ def test_shards_have_a_fixed_stride(spark):
             assert r.payload[i * 128 : (i + 1) * 128] == by_slot[r.first_slot + i]
 
 
+def test_shard_files_are_read_on_from_a_slot(spark, tmp_path):
+    frame = m.materialise(odd.docs(spark), ranks(), length=64, per_shard=50)
+    by_slot = {r.slot: bytes(r.tokens) for r in frame.collect()}
+    folder = str(tmp_path / "shards")
+    m.write_shards(frame, folder)
+    files = sorted(p.stat().st_size for p in (tmp_path / "shards").glob("part-*"))
+    assert len(files) == -(-len(by_slot) // 50) and all(size % m.stride(64) == 0 for size in files)
+    for slot in (0, 49, 50, 123, len(by_slot) - 1):
+        assert {r.slot: bytes(r.tokens) for r in m.read_from(spark, folder, slot, 64, 50).collect()} == {k: v for k, v in by_slot.items() if k >= slot}
+    assert m.read_from(spark, folder, len(by_slot), 64, 50).count() == 0
+
+
 def test_same_again(spark, sf):
     twice = [sorted((r.slot, bytes(r.tokens)) for r in m.op5_materialise(spark, sf).collect()) for _ in range(2)]
     assert twice[0] == twice[1] and len(twice[0]) > 100

@@ -1,11 +1,12 @@
 """Scoring texts with a probabilistic suffix tree, beside a smoothed unigram baseline.
 
-Gathering: texts are dealt into chunks by hash. Each chunk's distinct byte
+Gathering: texts are packed, a batch of rows to a compressed block, and blocks
+are dealt into chunks; scores don't depend on which. Each chunk's distinct byte
 7-grams, with their counts in training texts, are dealt by the last three bytes
 of their contexts, so that all counts which longer contexts need are together;
 there the tree is pruned and smoothed (suffixtree.chances), and every chunk is
-answered for its own 7-grams. Every context of LEAST_COUNT or more takes part;
-no machine holds the tree. Only its contexts of up to two bytes (at most 256^3
+answered for its own 7-grams, one bucket of such bytes at a time. Every context
+of LEAST_COUNT or more takes part; no machine holds the tree. Only its contexts of up to two bytes (at most 256^3
 codes, however large the corpus) reach the driver and are broadcast.
 
 Scoring: each chunk meets its answers. The counts of the most frequent words (at
@@ -14,7 +15,9 @@ join with the table of counts, which is never capped.
 
 Null and empty texts have no words and count as the end token alone. Repeated
 rows are scored, and learnt from, as often as they occur. Without training
-texts all counts are zero and every byte has probability 1/256.
+texts all counts are zero and every byte has probability 1/256; an empty table
+gives no rows. Whole texts count, however long. Other columns play no part. The
+docs are read twice in the same order, so they must come from a stored table.
 """
 
 from __future__ import annotations
@@ -22,10 +25,11 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,7 +40,9 @@ HEAD_WORDS = 1 << 18
 #: Occurrences that a context needs.
 LEAST_COUNT = 4
 #: Bytes of text in a chunk, about.
-CHUNK = 12_000_000
+CHUNK = 20_000_000
+#: Codes that are merged at once.
+_PENDING = 1 << 20
 _BUCKET_BITS = 12
 #: Words that a task gathers before it hands them on.
 _HELD = 400_000
@@ -79,12 +85,50 @@ def _shallow(found: pa.Table) -> list[tuple[np.ndarray, np.ndarray]]:
     return levels
 
 
-def _distinct(texts: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct turned codes of texts, and how often they occur."""
-    parts = [np.zeros(0, np.uint64)]
-    for at in range(0, len(texts), arrow.ROWS_PER_BATCH):
-        parts.append(suffixtree.turned(suffixtree.codes_of([suffixtree.tokens_of(text) for text in texts.slice(at, arrow.ROWS_PER_BATCH).to_pylist()])[0]))
-    return suffixtree.counted(np.concatenate(parts))
+def _blocks(docs: DataFrame, chunks: int) -> DataFrame:
+    """chunk, doc_ids, learnt, block: batches of rows (doc_id, text, learnt); a block has each text's tokens in a line, compressed."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        part, press = TaskContext.get().partitionId(), zstandard.ZstdCompressor(level=3)
+        for number, batch in enumerate(batches):
+            lines = [b" ".join(suffixtree.tokens_of(text)) for text in batch.column("text").to_pylist()]
+            chunk = int.from_bytes(blake2b(f"{part}:{number}".encode(), digest_size=7).digest(), "big") % chunks
+            lists = [pa.ListArray.from_arrays(pa.array([0, len(batch)], pa.int32()), batch.column(name)) for name in ("doc_id", "learnt")]
+            if len(batch):
+                yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), *lists, pa.array([press.compress(bytes([suffixtree.END]).join(lines))], pa.binary())], ["chunk", "doc_ids", "learnt", "block"])
+
+    return common.by_batches(docs.select("doc_id", "text", "learnt"), work, "chunk long, doc_ids array<long>, learnt array<boolean>, block binary")
+
+
+def _tokens(chunk: pa.Table) -> Iterator[tuple[list[int | None], list[bool], list[list[bytes]]]]:
+    """doc ids, whether they are learnt from, and tokens of each block."""
+    import zstandard
+
+    press = zstandard.ZstdDecompressor()
+    for row in range(len(chunk)):
+        lines = press.decompress(chunk.column("block")[row].as_py()).split(bytes([suffixtree.END]))
+        yield chunk.column("doc_ids")[row].as_py(), chunk.column("learnt")[row].as_py(), [line.split() for line in lines]
+
+
+class _Merged:
+    """Distinct codes and their counts, merged as they come, so that little more than the distinct ones is held."""
+
+    def __init__(self) -> None:
+        self.codes, self.counts, self.pending = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0
+
+    def add(self, codes: np.ndarray, counts: np.ndarray) -> None:
+        self.codes.append(codes)
+        self.counts.append(counts)
+        self.pending += len(codes)
+        if self.pending > max(_PENDING, len(self.codes[0])):
+            self.all()
+
+    def all(self) -> tuple[np.ndarray, np.ndarray]:
+        codes, counts = suffixtree.counted(np.concatenate(self.codes), np.concatenate(self.counts))
+        self.codes, self.counts, self.pending = [codes], [counts], 0
+        return codes, counts
 
 
 def _packed(codes: np.ndarray) -> bytes:
@@ -100,11 +144,14 @@ def _unpacked(data: bytes) -> np.ndarray:
 
 def _gather(chunk: pa.Table) -> pa.Table:
     """chunk, bucket, codes, counts of a chunk of texts: all its codes, counted where they are learnt from."""
-    learnt, n = _distinct(chunk.filter(chunk.column("learnt")).column("text"))
-    asked, _ = _distinct(chunk.filter(pc.invert(chunk.column("learnt"))).column("text"))
-    codes, _ = suffixtree.counted(np.concatenate([learnt, asked]))
-    counts = np.zeros(len(codes), np.uint32)
-    counts[np.searchsorted(codes, learnt)] = n
+    merged = _Merged()
+    for _, learnt, tokens in _tokens(chunk):
+        for flag in (True, False):
+            some = [one for one, known in zip(tokens, learnt) if known == flag]
+            codes, n = suffixtree.counted(suffixtree.turned(suffixtree.codes_of(some)[0]))
+            merged.add(codes, n if flag else np.zeros(len(n), np.int64))
+    codes, n = merged.all()
+    counts = n.astype(np.uint32)
     buckets = codes >> np.uint64(56 - _BUCKET_BITS)
     first = np.flatnonzero(np.concatenate([[True], buckets[1:] != buckets[:-1]])).tolist()
     spans = list(zip(first, [*first[1:], len(codes)]))
@@ -119,7 +166,7 @@ def _gather(chunk: pa.Table) -> pa.Table:
 def answers(texts: DataFrame, levels: list[tuple[np.ndarray, np.ndarray]]) -> DataFrame:
     """chunk, bucket, logs (floats of the chunk's distinct turned codes in that bucket, in order), kept.
 
-    texts: chunk, doc_id, text, learnt. Logs are NaN where no state is deeper
+    texts: chunk, learnt, block. Logs are NaN where no state is deeper
     than SHALLOW; rows without chunk name in kept the suffixes of deeper states.
     """
     common.ship(texts.sparkSession)
@@ -128,18 +175,13 @@ def answers(texts: DataFrame, levels: list[tuple[np.ndarray, np.ndarray]]) -> Da
     shared = texts.sparkSession.sparkContext.broadcast((wide, codes, counts / np.bincount(group, counts)[group] if len(codes) else np.zeros(0)))
     least = LEAST_COUNT
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        heads, parts, numbers = [], [], []
-        for batch in batches:
-            heads.append(batch.select(["chunk", "bucket"]))
-            parts += [_unpacked(data) for data in batch.column("codes").to_pylist()]
-            numbers += [np.frombuffer(data, np.uint32) for data in batch.column("counts").to_pylist()]
-        if not parts:
-            return
+    def answered(rows: list[tuple]) -> pa.RecordBatch:
+        """A bucket's answers to every chunk, and the suffixes of its states, from (chunk, bucket, codes, counts)."""
+        parts = [_unpacked(row[2]) for row in rows]
         ends = np.cumsum([0, *map(len, parts)]).tolist()
         own, back = np.unique(np.concatenate(parts), return_inverse=True)
-        number = np.bincount(back, np.concatenate(numbers), len(own))
-        del parts, numbers
+        del parts
+        number = np.bincount(back, np.concatenate([np.frombuffer(row[3], np.uint32) for row in rows]), len(own))
         own = suffixtree.turned_back(own)
         order = np.argsort(own)
         own, number = own[order], number[order]
@@ -153,15 +195,26 @@ def answers(texts: DataFrame, levels: list[tuple[np.ndarray, np.ndarray]]) -> Da
         placed = np.empty(len(logs), np.float32)
         placed[order] = logs
         placed = placed[back]
-        row = 0
-        for head in heads:
-            data = [placed[ends[k] : ends[k + 1]].tobytes() for k in range(row, row + len(head))]
-            row += len(head)
-            yield pa.RecordBatch.from_arrays([*head.columns, pa.array(data, pa.binary()), pa.nulls(len(head), pa.list_(pa.int32()))], ["chunk", "bucket", "logs", "kept"])
-        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.binary()), pa.array([kept.astype(np.int32)], pa.list_(pa.int32()))], ["chunk", "bucket", "logs", "kept"])
+        chunks, buckets = [row[0] for row in rows], [row[1] for row in rows]
+        data = [placed[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([*chunks, None], pa.int64()), pa.array([*buckets, None], pa.int32()), pa.array([*data, None], pa.binary()), pa.array([None] * len(rows) + [kept.astype(np.int32)], pa.list_(pa.int32()))],
+            ["chunk", "bucket", "logs", "kept"],
+        )
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[tuple] = []
+        for batch in batches:
+            for row in zip(*(column.to_pylist() for column in batch.columns)):
+                if rows and row[1] != rows[-1][1]:
+                    yield answered(rows)
+                    rows = []
+                rows.append(row)
+        if rows:
+            yield answered(rows)
 
-    dealt = texts.groupBy("chunk").applyInArrow(_gather, "chunk long, bucket int, codes binary, counts binary").repartition("bucket")
-    return common.by_batches(dealt, work, "chunk long, bucket int, logs binary, kept array<int>")
+    dealt = texts.select("chunk", "doc_ids", "learnt", "block").groupBy("chunk").applyInArrow(_gather, "chunk long, bucket int, codes binary, counts binary")
+    return common.by_batches(dealt.repartition("bucket").sortWithinPartitions("bucket", "chunk"), work, "chunk long, bucket int, logs binary, kept array<int>")
 
 
 def _head(counts: DataFrame) -> dict[bytes, int]:
@@ -192,8 +245,7 @@ def score(docs: DataFrame, training: Column) -> DataFrame:
     row = counts.agg(F.sum("count").alias("n"), F.count("*").alias("v")).first()
     total, distinct = (row["n"] or 0) + ends, row["v"] + (ends > 0)
     levels = _shallow(gathered.where("word IS NULL").select("code", "count").toArrow())
-    chunk = F.pmod(F.xxhash64("doc_id", "text"), F.lit(octets // CHUNK + 1))
-    texts = docs.select(chunk.alias("chunk"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), learnt.alias("learnt"))
+    texts = _blocks(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), learnt.alias("learnt")), octets // CHUNK + 1)
     found = common.cut(answers(texts, levels))
     kept = found.where("chunk IS NULL").select(F.explode("kept").alias("kept")).distinct().toArrow().column("kept").to_numpy()  # at most 65,536
     tree = suffixtree.grow(levels, also=kept.astype(np.uint64))
@@ -204,15 +256,8 @@ def score(docs: DataFrame, training: Column) -> DataFrame:
 
     def work(chunk: pa.Table, found: pa.Table) -> pa.Table:
         head, tree = shared.value
-        codes, _ = _distinct(chunk.column("text"))
-        values = np.frombuffer(b"".join(found.sort_by("bucket").column("logs").to_pylist()), np.float32).copy()
-        left = np.flatnonzero(np.isnan(values))
-        values[left] = tree._logs(suffixtree.turned_back(codes[left]))
-        table = suffixtree.Table(codes, values)
-        del codes, values, left
-        out = []
-        for batch in chunk.combine_chunks().to_batches(arrow.ROWS_PER_BATCH):
-            tokens = [suffixtree.tokens_of(text) for text in batch.column("text").to_pylist()]
+        out, blocks, codes, pending = [], [], [np.zeros(0, np.uint64)], 0
+        for ids, _, tokens in _tokens(chunk):
             known, logs, tails = [], [], []
             for one in tokens:
                 found_logs = list(map(head.get, one))
@@ -224,16 +269,25 @@ def score(docs: DataFrame, training: Column) -> DataFrame:
             np.cumsum([len(tail) for tail in tails], out=ends_at[1:])
             words = pa.array([word for tail in tails for word in tail], pa.binary())
             times = pa.array([n for tail in tails for n in tail.values()], pa.int64())
-            own, starts = suffixtree.codes_of(tokens)
-            scores = np.add.reduceat(table.get(suffixtree.turned(own))[0].astype(np.float64), starts[:-1]) / np.log(10)
-            out.append(pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([len(one) for one in tokens], pa.int64()), pa.array(known, pa.int64()), pa.array(logs, pa.float64()), pa.array(scores), pa.ListArray.from_arrays(ends_at, words), pa.ListArray.from_arrays(ends_at, times)],
-                ["doc_id", "n", "known", "logs", "score", "words", "times"],
-            ))
-        return pa.Table.from_batches(out)
-
-    met_chunks = texts.drop("learnt").groupBy("chunk").cogroup(found.where("chunk IS NOT NULL").select("chunk", "bucket", "logs").groupBy("chunk"))
-    by_chunk = met_chunks.applyInArrow(work, "doc_id long, n long, known long, logs double, score double, words array<binary>, times array<long>")
+            out.append([pa.array(ids, pa.int64()), pa.array([len(one) for one in tokens], pa.int64()), pa.array(known, pa.int64()), pa.array(logs, pa.float64()), pa.ListArray.from_arrays(ends_at, words), pa.ListArray.from_arrays(ends_at, times)])
+            found_codes, starts = suffixtree.codes_of(tokens)
+            own, back = np.unique(suffixtree.turned(found_codes), return_inverse=True)
+            blocks.append((own, back.astype(np.int32), starts[:-1]))
+            codes, pending = [*codes, own], pending + len(own)
+            if pending > _PENDING:
+                codes, pending = [np.unique(np.concatenate(codes))], 0
+        codes = np.unique(np.concatenate(codes))
+        values = np.frombuffer(b"".join(found.sort_by("bucket").column("logs").to_pylist()), np.float32).astype(np.float64)
+        if len(values) != len(codes):
+            raise ValueError("the rows of docs changed their order between two readings: docs must be a stored table")
+        left = np.flatnonzero(np.isnan(values))
+        values[left] = tree._logs(suffixtree.turned_back(codes[left]))
+        scores = [np.add.reduceat(values[np.searchsorted(codes, own)][back], starts) / np.log(10) for own, back, starts in blocks]
+        names = ["doc_id", "n", "known", "logs", "words", "times", "score"]
+        return pa.Table.from_batches([pa.RecordBatch.from_arrays([*columns, pa.array(score)], names) for columns, score in zip(out, scores)])
+
+    met_chunks = texts.groupBy("chunk").cogroup(found.where("chunk IS NOT NULL").select("chunk", "bucket", "logs").groupBy("chunk"))
+    by_chunk = met_chunks.applyInArrow(work, "doc_id long, n long, known long, logs double, words array<binary>, times array<long>, score double")
     scored = common.cut(by_chunk.withColumn("row", F.monotonically_increasing_id()))
     tails = scored.select("row", F.explode(F.arrays_zip("words", "times")).alias("tail")).select("row", "tail.words", "tail.times")
     met = tails.join(counts, F.col("words") == F.col("word"))

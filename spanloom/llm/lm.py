@@ -41,7 +41,7 @@ HEAD_WORDS = 1 << 18
 LEAST_COUNT = 4
 #: Bytes of text in a chunk, about.
 CHUNK = 20_000_000
-#: Codes that are merged at once.
+#: Codes that are merged at once. (A block has at most 256 texts, as an Arrow batch has.)
 _PENDING = 1 << 20
 _BUCKET_BITS = 12
 #: Words that a task gathers before it hands them on.
@@ -261,18 +261,22 @@ def score(docs: DataFrame, training: Column) -> DataFrame:
             known, logs, tails = [], [], []
             for one in tokens:
                 found_logs = list(map(head.get, one))
-                tails.append(Counter(word for word, value in zip(one, found_logs) if value is None))
-                found_logs = [value for value in found_logs if value is not None]
-                known.append(len(found_logs))
-                logs.append(sum(found_logs))
+                unknown = found_logs.count(None)
+                tails.append(Counter([word for word, value in zip(one, found_logs) if value is None]) if unknown else {})
+                known.append(len(found_logs) - unknown)
+                logs.append(sum(filter(None, found_logs)))
             ends_at = np.zeros(len(tokens) + 1, np.int32)
             np.cumsum([len(tail) for tail in tails], out=ends_at[1:])
             words = pa.array([word for tail in tails for word in tail], pa.binary())
             times = pa.array([n for tail in tails for n in tail.values()], pa.int64())
             out.append([pa.array(ids, pa.int64()), pa.array([len(one) for one in tokens], pa.int64()), pa.array(known, pa.int64()), pa.array(logs, pa.float64()), pa.ListArray.from_arrays(ends_at, words), pa.ListArray.from_arrays(ends_at, times)])
             found_codes, starts = suffixtree.codes_of(tokens)
-            own, back = np.unique(suffixtree.turned(found_codes), return_inverse=True)
-            blocks.append((own, back.astype(np.int32), starts[:-1]))
+            numbers = np.repeat(np.arange(len(tokens), dtype=np.uint64), np.diff(starts))
+            pairs = np.sort((suffixtree.turned(found_codes) << np.uint64(8)) | numbers)  # codes have 56 bits, a block's texts 8
+            ordered = pairs >> np.uint64(8)
+            first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+            own = ordered[first]
+            blocks.append((own, np.diff(first, append=len(pairs)).astype(np.int32), pairs.astype(np.uint8), len(tokens)))
             codes, pending = [*codes, own], pending + len(own)
             if pending > _PENDING:
                 codes, pending = [np.unique(np.concatenate(codes))], 0
@@ -282,7 +286,7 @@ def score(docs: DataFrame, training: Column) -> DataFrame:
             raise ValueError("the rows of docs changed their order between two readings: docs must be a stored table")
         left = np.flatnonzero(np.isnan(values))
         values[left] = tree._logs(suffixtree.turned_back(codes[left]))
-        scores = [np.add.reduceat(values[np.searchsorted(codes, own)][back], starts) / np.log(10) for own, back, starts in blocks]
+        scores = [np.bincount(of, np.repeat(values[np.searchsorted(codes, own)], times), n) / np.log(10) for own, times, of, n in blocks]
         names = ["doc_id", "n", "known", "logs", "words", "times", "score"]
         return pa.Table.from_batches([pa.RecordBatch.from_arrays([*columns, pa.array(score)], names) for columns, score in zip(out, scores)])
 

@@ -45,9 +45,11 @@ SAMPLE = 20_000
 PROBES = 400
 ROWS_PER_BLOCK = 8192
 QUERIES_PER_BLOCK = 8192
-#: Queries of a block that are searched at once; pairs that are ranked at once.
+#: Queries of a block that are searched at once; by how much sums of products may differ in their order.
 _AT_ONCE = 256
-_PAIRS = 1 << 16
+_ROUNDING = 1e-9
+#: Share of a block from which whole arrays are worked on instead of lists; the rows found are the same.
+_DENSE = 0.1
 NEIGHBOURS = 20
 
 _SUBSTRINGS = BITS // WIDTH
@@ -120,8 +122,8 @@ class Index:
         self.codes = codes
         self.tables = []
         for part in self._parts(codes).T:
-            values, size = np.unique(part, return_counts=True)
-            self.tables.append((values, np.argsort(part, kind="stable"), np.cumsum(size) - size, size))
+            values, of, size = np.unique(part, return_inverse=True, return_counts=True)
+            self.tables.append((values, of, np.argsort(part, kind="stable"), np.cumsum(size) - size, size))
 
     @staticmethod
     def _parts(codes: np.ndarray) -> np.ndarray:
@@ -135,15 +137,24 @@ class Index:
         """
         spare = max(0, radius - _SUBSTRINGS + 1)
         met = np.zeros((len(asked), len(self.codes)), bool)
-        for k, (own, (values, rows, starts, sizes)) in enumerate(zip(self._parts(asked).T, self.tables)):
+        for k, (own, (values, of, rows, starts, sizes)) in enumerate(zip(self._parts(asked).T, self.tables)):
             least = spare // _SUBSTRINGS + (k < spare % _SUBSTRINGS)
-            number, probe = np.nonzero(np.bitwise_count(own[:, None] ^ values[None, :]) <= least)
+            near = np.bitwise_count(own[:, None] ^ values[None, :]) <= least
+            if near.mean() > _DENSE:  # so many values are near that going through the rows is quicker than through their lists
+                met |= near[:, of]
+                continue
+            number, probe = np.nonzero(near)
             size = sizes[probe]
             at = np.repeat(starts[probe] - (np.cumsum(size) - size), size) + np.arange(size.sum())
             met[np.repeat(number, size), rows[at]] = True
+        probed = met.sum(axis=1)
+        if met.mean() > _DENSE:
+            apart = sum(np.bitwise_count(asked[:, None, k] ^ self.codes[None, :, k]).astype(np.uint16) for k in range(_WORDS))
+            number, row = np.nonzero(met & (apart <= radius))
+            return number, row, probed
         number, row = np.nonzero(met)
         close = distances(asked[number], self.codes[row]) <= radius
-        return number[close], row[close], met.sum(axis=1)
+        return number[close], row[close], probed
 
 
 def search_block(codes: Codes, vectors: np.ndarray, ids: list[list[int]], queries: np.ndarray, wanted: int, radius: int) -> Iterator[tuple[int, int, float | None, bool, int, int]]:
@@ -151,19 +162,20 @@ def search_block(codes: Codes, vectors: np.ndarray, ids: list[list[int]], querie
 
     Each query has also one row (number, None, None, False, rows that its probes retrieved, rows that were ranked).
     """
-    index, least = Index(codes.of(vectors, True)), np.array([min(one) for one in ids], np.int64)
+    index = Index(codes.of(vectors, True))
     for first in range(0, len(queries), _AT_ONCE):
         points = queries[first : first + _AT_ONCE]
         number, row, probed = index.within(codes.of(points, False), radius)
-        parts = [(points[number[i : i + _PAIRS]] * vectors[row[i : i + _PAIRS]]).sum(axis=1) for i in range(0, len(row), _PAIRS)]
-        scores = np.concatenate([*parts, np.zeros(0)])
-        order = np.lexsort((least[row], -scores, number))
-        number, row, scores = number[order], row[order], scores[order]
         ranked = np.bincount(number, minlength=len(points))
         for k, end in enumerate(np.cumsum(ranked)):
             yield first + k, None, None, False, int(probed[k]), int(ranked[k])
-            top = range(end - ranked[k], min(end, end - ranked[k] + wanted))
-            for score, one, own in sorted((-scores[i], one, bool((vectors[row[i]] == points[k]).all())) for i in top for one in ids[row[i]])[:wanted]:
+            rows = row[end - ranked[k] : end]
+            if len(rows) > wanted:  # products in any order of additions first: all that may be among the best stay
+                rough = vectors[rows] @ points[k]
+                least = np.partition(rough, len(rows) - wanted)[len(rows) - wanted]
+                rows = rows[~(rough < least - _ROUNDING * (abs(least) + np.abs(rough).max()))]
+            scores = (vectors[rows] * points[k]).sum(axis=1)
+            for score, one, own in sorted((-score, one, bool((vectors[i] == points[k]).all())) for i, score in zip(rows, scores) for one in ids[i])[:wanted]:
                 yield first + k, one, -score, own, 0, 0
 
 

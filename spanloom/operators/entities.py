@@ -88,9 +88,9 @@ def _octets(text: str) -> bool:
     return all(int(part) <= 255 for part in text.split("."))
 
 
-#: Common identifiers with checks of this library's own: type, pattern, score, test, nearby words.
+#: Common identifiers with checks of this library's own: type, pattern (a group "own" is the identifier, if there is one), score, test, nearby words.
 _OWN: tuple[tuple[str, str, float, Callable[[str], bool] | None, tuple[str, ...]], ...] = (
-    ("EMAIL_ADDRESS", r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+\b", 1.0, None, ("email", "mail")),
+    ("EMAIL_ADDRESS", r"(?<![\w.%+-])[.%+-]*+(?P<own>[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+\b)", 1.0, None, ("email", "mail")),
     ("PHONE_NUMBER", r"(?<![\w.])(?:\+\d{1,3}[\s.-]?)?(?:\(\d{3}\)\s?|\d{3}[\s.-])\d{3}[\s.-]\d{4}(?!\w)", 0.75, None, ("phone", "call", "tel", "mobile", "fax")),
     ("CREDIT_CARD", r"\b\d(?:[ -]?\d){12,18}\b", 0.9, _luhn, ("card", "credit", "visa", "mastercard")),
     ("IBAN_CODE", r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30}\b", 0.9, _iban, ("iban", "account")),
@@ -157,7 +157,8 @@ def detect(text: str | None, policy: Policy = Policy(), backend: Backend | None
     """All entities of a text that the policy takes, by place."""
     if not text or not text.strip():
         return []
-    found = [boosted(text, Entity(kind, m.start(), m.end(), score)) for kind, pattern, score, test in _COMPILED for m in pattern.finditer(text) if test is None or test(m.group())]
+    own = lambda pattern, m: m.span("own" if "own" in pattern.groupindex else 0)
+    found = [boosted(text, Entity(kind, *own(pattern, m), score)) for kind, pattern, score, test in _COMPILED for m in pattern.finditer(text) if test is None or test(m.group())]
     for one in backend(text) if backend else ():
         short_name = one.type == "ORG" and text[one.start : one.end].isupper() and one.end - one.start <= 5
         if not short_name:

@@ -92,16 +92,16 @@ def concurrency(states: DataFrame, keys: Sequence[str] = ("solution_id",)) -> Da
 def overlapping(spans: DataFrame, keys: Sequence[str] = ("solution_id",)) -> DataFrame:
     """The most spans that were open at once, by key and hour of their start or end: a sweep over +1 and -1 events.
 
-    Events are first summed by instant, so the running sum meets each instant once.
+    Events are first summed by instant, so the running sum meets each instant
+    once, and by minute, so a window holds no more than a key's minute.
     """
     events = spans.select(*keys, F.explode(F.array(F.struct(F.col("started_at").alias("at"), F.lit(1).alias("change")), F.struct(F.col("ended_at").alias("at"), F.lit(-1).alias("change")))).alias("e"))
-    summed = events.groupBy(*keys, F.date_trunc("hour", "e.at").alias("hour"), F.col("e.at").alias("at")).agg(F.sum("e.change").alias("change"))
-    hours = summed.groupBy(*keys, "hour").agg(F.sum("change").alias("total"))  # few rows: the sums of the hours before are formed from them
-    before = F.sum("total").over(Window.partitionBy(*keys).orderBy("hour").rowsBetween(Window.unboundedPreceding, -1))
-    hours = hours.select(*keys, "hour", F.coalesce(before, F.lit(0)).alias("before"))
-    within = F.sum("change").over(Window.partitionBy(*keys, "hour").orderBy("at"))
-    found = summed.withColumn("within", within).join(hours, [*keys, "hour"])
-    return found.groupBy(*keys, "hour").agg(F.max(F.col("before") + F.col("within")).alias("most_open"))
+    summed = events.groupBy(*keys, F.date_trunc("minute", "e.at").alias("minute"), F.col("e.at").alias("at")).agg(F.sum("e.change").alias("change"))
+    within = F.sum("change").over(Window.partitionBy(*keys, "minute").orderBy("at"))
+    minutes = summed.withColumn("within", within).groupBy(*keys, "minute").agg(F.sum("change").alias("total"), F.max("within").alias("most"))
+    before = F.sum("total").over(Window.partitionBy(*keys).orderBy("minute").rowsBetween(Window.unboundedPreceding, -1))  # a row for each minute of a key
+    found = minutes.withColumn("before", F.coalesce(before, F.lit(0)))
+    return found.groupBy(*keys, F.date_trunc("hour", "minute").alias("hour")).agg(F.max(F.col("before") + F.col("most")).alias("most_open"))
 
 
 def _costs(states: DataFrame, key: str) -> DataFrame:

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spanloom.functions import arrow, metadata
+from spanloom.operators import gate
+from spanloom.plans import compiler
 
 SCHEMA_KEYS = ("expected_schema", "response_schema", "schema")
 #: Constraints that can be checked.
@@ -280,8 +282,16 @@ def _scored(jobs: DataFrame, columns: list[str], call: Callable[[list[tuple]], l
     return arrow.by_batches(distinct, work, schema)
 
 
-def with_semantic(spans: DataFrame, scorer: Scorer, answers: DataFrame | None = None) -> DataFrame:
-    """Adds md, the five semantic metrics and their metadata; answers: of whole traces, from answers_by_trace."""
+GENERATION = ("faithfulness", "coherence", "completeness")
+RETRIEVAL = ("context_relevance", "chunk_utilization")
+
+
+def with_semantic(spans: DataFrame, scorer: Scorer, answers: DataFrame | None = None, active: DataFrame | None = None) -> DataFrame:
+    """Adds md, the five semantic metrics and their metadata; answers: of whole traces, from answers_by_trace.
+
+    active: the toggles' keys (gate.KEY). Only jobs of spans with an active
+    metric of the job's kind are scored; other spans stay, without scores.
+    """
     read = spans.withColumn("md", metadata.parsed("metadata"))
     if answers is None:
         answers = answers_by_trace(spans)
@@ -291,6 +301,9 @@ def with_semantic(spans: DataFrame, scorer: Scorer, answers: DataFrame | None =
     read = read.withColumns({"_query": F.when(F.col("span_type") == "retrieval", metadata.text("md", "query")), "_chunks": F.filter(chunks, lambda c: F.trim(c) != "")})
     read = read.withColumn("_gen", F.when(F.trim("_output") != "", F.sha2(F.to_json(F.struct("_input", "_output")), 256)))
     read = read.withColumn("_ret", F.when((F.trim("_query") != "") & (F.size("_chunks") > 0), F.sha2(F.to_json(F.struct("_query", "_chunks", "answer")), 256)))
-    made = _scored(read.where("_gen IS NOT NULL"), ["_input", "_output"], scorer.generation, ["faithfulness", "coherence", "completeness"], "_gen").withColumnRenamed("meta", "generation_meta")
-    found = _scored(read.where("_ret IS NOT NULL"), ["_query", "_chunks", "answer"], scorer.retrieval, ["context_relevance", "chunk_utilization"], "_ret").withColumnRenamed("meta", "retrieval_meta")
+    if active is not None:
+        for key, metrics in (("_gen", GENERATION), ("_ret", RETRIEVAL)):
+            read = gate.flagged(read, active.where(F.col("metric").isin(*metrics)), compiler.scopes_of(), compiler.path_columns, "_wanted").withColumn(key, F.when(F.col("_wanted"), F.col(key))).drop("_wanted")
+    made = _scored(read.where("_gen IS NOT NULL"), ["_input", "_output"], scorer.generation, list(GENERATION), "_gen").withColumnRenamed("meta", "generation_meta")
+    found = _scored(read.where("_ret IS NOT NULL"), ["_query", "_chunks", "answer"], scorer.retrieval, list(RETRIEVAL), "_ret").withColumnRenamed("meta", "retrieval_meta")
     return read.join(made, "_gen", "left").join(found, "_ret", "left").drop("_input", "_output", "_query", "_chunks", "_gen", "_ret", "answer")

@@ -15,10 +15,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanloom.functions import arrow, metadata
-from spanloom.operators import risk
+from spanloom.operators import gate, risk
 from spanloom.operators.entities import Backend, Policy
+from spanloom.plans import compiler
 
 INJECTION_THRESHOLD, HARMFUL_THRESHOLD = 0.50, 0.83
+METRICS = ("pii_detected", "prompt_injection_detected", "toxicity_detected")
 
 
 class TextClassifier:
@@ -92,11 +94,18 @@ def _or_null(value: Column, empty: Column) -> Column:
     return F.when(~empty, value)
 
 
-def with_safety(spans: DataFrame, policy: Policy = Policy(), backend: Backend | None = None, classifier: TextClassifier | None = None, injection_threshold: float = INJECTION_THRESHOLD, harmful_threshold: float = HARMFUL_THRESHOLD) -> DataFrame:
-    """Adds the safety lens's context: the three verdicts and their metadata."""
+def with_safety(spans: DataFrame, policy: Policy = Policy(), backend: Backend | None = None, classifier: TextClassifier | None = None, injection_threshold: float = INJECTION_THRESHOLD, harmful_threshold: float = HARMFUL_THRESHOLD, active: DataFrame | None = None) -> DataFrame:
+    """Adds the safety lens's context: the three verdicts and their metadata.
+
+    active: the toggles' keys (gate.KEY). Only texts of spans with an active
+    safety metric are analysed; other spans stay, as if their texts were blank.
+    """
     read = spans.withColumn("md", metadata.parsed("metadata"))
     hashed = lambda path: F.when(F.trim(metadata.text("md", path)) != "", F.sha2(metadata.text("md", path), 256))
     read = read.withColumns({"_in": hashed("input"), "_out": hashed("output")})
+    if active is not None:
+        read = gate.flagged(read, active.where(F.col("metric").isin(*METRICS)), compiler.scopes_of(), compiler.path_columns, "_wanted")
+        read = read.withColumns({key: F.when(F.col("_wanted"), F.col(key)) for key in ("_in", "_out")}).drop("_wanted")
     of = lambda key, path: read.where(F.col(key).isNotNull()).select(F.col(key).alias("text_hash"), metadata.text("md", path).alias("text"))
     texts = of("_in", "input").union(of("_out", "output")).dropDuplicates(["text_hash"])
     found = analyzed(texts, policy, backend, classifier)

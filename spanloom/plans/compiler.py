@@ -14,13 +14,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanloom import schemas
-from spanloom.functions import metadata
+from spanloom.functions import metadata, sides
 from spanloom.operators import gate
 from spanloom.plans import specs as declared
 
-#: A gate's side is broadcast up to this many rows (a hundred bytes each).
-MAX_BROADCAST_ROWS = 200_000
-
 
 def path_columns(scope: Column) -> dict[str, Column]:
     """The path of a row at a scope: deeper ids are blank; solution and endpoint keep the endpoint."""
@@ -64,7 +61,7 @@ def with_performance(spans: DataFrame) -> DataFrame:
 def with_cost(spans: DataFrame, rates: DataFrame) -> DataFrame:
     """Adds md and the cost lens's context; rates: component_id and pricing (map of doubles), a row for each component."""
     read = spans.withColumn("md", metadata.parsed("metadata"))
-    priced = read.join(_small(rates.select("component_id", "pricing")), "component_id", "left")
+    priced = read.join(sides.small(rates.select("component_id", "pricing")), "component_id", "left")
     rate = lambda key: F.coalesce(F.col("pricing")[key], F.lit(0.0))
     amounts = priced.withColumns({
         "input_tokens": metadata.amount("md", "usage.input_tokens"),
@@ -104,16 +101,13 @@ def with_cost(spans: DataFrame, rates: DataFrame) -> DataFrame:
     })
 
 
-def _small(side: DataFrame) -> DataFrame:
-    """A broadcast of the side if a count shows that it is small."""
-    return F.broadcast(side) if side.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS else side
-
-
 def emit(context: DataFrame, specs: Sequence[declared.MetricSpec], active: DataFrame | None = None) -> DataFrame:
     """Derived rows of the specs over a lens's context.
 
-    active: the toggles' keys (gate.KEY); None leaves all on. Spans none of
-    whose paths has an active metric of these specs are dropped first.
+    active: the toggles' keys (gate.KEY); None leaves all on. It is read
+    several times, so store it first (sides.stored) if it takes work to
+    compute. Spans none of whose paths has an active metric of these specs are
+    dropped first.
     """
     specs = [spec for spec in specs if spec.per_span]
     item = lambda spec: F.struct(F.lit(spec.metric).alias("metric"), F.when(spec.predicate.column(), spec.value()).cast("double").alias("value"), (spec.meta() if spec.meta else F.lit(None)).cast("string").alias("metric_meta"))
@@ -121,9 +115,8 @@ def emit(context: DataFrame, specs: Sequence[declared.MetricSpec], active: DataF
     if active is not None:
         active = active.where(F.col("metric").isin([spec.metric for spec in specs]))
         context = gate.before(context, active, scopes_of(), path_columns)
-    wide = context.select(*base, scopes_of().alias("scopes"), F.array(*(item(spec) for spec in specs)).alias("metrics"))
-    live = wide.select(*base, "scopes", F.explode(F.filter("metrics", lambda m: m["value"].isNotNull())).alias("m"))
-    rows = live.select(*base, F.explode("scopes").alias("scope"), "m.*")
+    wide = context.select(*base, scopes_of().alias("scopes"), F.inline(F.array(*(item(spec) for spec in specs)))).where("value IS NOT NULL")
+    rows = wide.select(*base, F.explode("scopes").alias("scope"), "metric", "value", "metric_meta")
     rows = rows.withColumns(path_columns(F.col("scope")))
     if active is not None:
         rows = gate.exactly(rows, active)

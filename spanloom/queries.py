@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanloom import schemas
+from spanloom.functions import sides
 from spanloom.operators import coverage, evaluation, gate, quality, registry, rollup, safety
 from spanloom.plans import compiler
 from spanloom.plans import specs as declared
@@ -239,7 +240,7 @@ def toggles(spark: SparkSession, sf_dir: str, metrics: tuple[str, ...] = ("laten
     paths = derived(spark, sf_dir, "performance", only="latency").select("scope", *schemas.PATH).distinct()
     keys = paths.withColumn("metric", F.explode(F.array(*map(F.lit, metrics))))
     digest = F.sha2(F.concat_ws("/", "scope", *schemas.PATH, "metric"), 256)
-    return keys.where(F.substring(digest, 1, 1) <= "7")
+    return sides.stored(keys.where(F.substring(digest, 1, 1) <= "7"))
 
 
 _TOGGLED = f"""{SPANS}, p AS (SELECT *, at_scope AS sc, CASE WHEN at_scope IN ('solution', 'endpoint') THEN '' ELSE workflow_id END AS wf,
@@ -436,6 +437,9 @@ _MECHANICAL = ("format_correctness", "schema_conformance", "tool_call_validity",
 
 @register("quality_mechanical", f"""{SPANS}
 SELECT span_id, scope, 'tool_call_validity' AS metric, CAST(CASE WHEN ok_md AND k % 3 > 0 AND (k % 5 > 0 OR span_status <> 'ok') THEN 1 ELSE 0 END AS DOUBLE) AS value FROM u WHERE {_IN("tool_call")}
+UNION ALL SELECT span_id, scope, 'data_completeness', CAST(CASE WHEN k % 2 = 0 THEN 1 ELSE 0.75 END AS DOUBLE) FROM u WHERE ok_md AND {_IN("validation")}
+UNION ALL SELECT span_id, scope, 'data_accuracy', CAST(1 - (k % 3) / 4.0 AS DOUBLE) FROM u WHERE ok_md AND k % 4 = 2 AND {_IN("validation")}
+UNION ALL SELECT span_id, scope, 'constraint_satisfaction', CAST(CASE WHEN k % 4 IN (1, 3) AND length('{{"a": ' || k || '}}') <= 9 THEN 1 ELSE 0 END AS DOUBLE) FROM u WHERE ok_md AND k % 5 = 0 AND {_IN("validation", "skill_exec")}
 UNION ALL SELECT span_id, scope, 'format_correctness', CAST(1 AS DOUBLE) FROM u WHERE ok_md AND ({_IN("model_call", "validation")} OR ({_IN("tool_call")} AND k % 5 > 0))
 UNION ALL SELECT span_id, scope, 'schema_conformance', CAST(k % 2 AS DOUBLE) FROM u WHERE ok_md AND {_IN("validation")}
 UNION ALL SELECT span_id, scope, 'data_completeness', CAST(round(least(1.0, k / 100.0), 4) AS DOUBLE) FROM u WHERE ok_md AND {_IN("skill_exec")}""")
@@ -449,12 +453,23 @@ _TURNS = """WITH a AS (SELECT c.conv_id, c.turn, c.text, (SELECT max(p.turn) FRO
   (SELECT count(*) FROM conversations p WHERE p.conv_id = c.conv_id AND p.role = 'user') AS n_users FROM conversations c WHERE c.role = 'assistant')"""
 
 
+class _LengthScorer(quality.Scorer):
+    """Scores that SQL can repeat."""
+
+    def generation(self, jobs):
+        return [{name: len(output) % modulus / modulus for name, modulus in (("faithfulness", 101), ("coherence", 89), ("completeness", 83))} | {"meta": {"out_sents": 1}} for _, output in jobs]
+
+    def retrieval(self, jobs):
+        return [{"context_relevance": len(query) % 97 / 97, "chunk_utilization": 1 / len(chunks) if answer else None, "meta": {"chunks": len(chunks)}} for query, chunks, answer in jobs]
+
+
 @register("quality_semantic", f"""{_TURNS}
-SELECT 'call-' || conv_id || '-' || turn AS span_id, m.metric, CAST(0.75 AS DOUBLE) AS value FROM a, (VALUES ('faithfulness'), ('coherence'), ('completeness')) AS m(metric) WHERE trim(text) <> ''
-UNION ALL SELECT 'find-' || conv_id || '-' || turn, m.metric, CAST(0.75 AS DOUBLE) FROM a, (VALUES ('context_relevance'), ('chunk_utilization')) AS m(metric) WHERE asked IS NOT NULL AND n_users > 1""")
+SELECT 'call-' || conv_id || '-' || turn AS span_id, m.metric, CAST((length(text) % m.modulus) / CAST(m.modulus AS DOUBLE) AS DOUBLE) AS value FROM a, (VALUES ('faithfulness', 101), ('coherence', 89), ('completeness', 83)) AS m(metric, modulus) WHERE trim(text) <> ''
+UNION ALL SELECT 'find-' || conv_id || '-' || turn, 'context_relevance', (SELECT length(q.text) % 97 FROM conversations q WHERE q.conv_id = a.conv_id AND q.turn = a.asked) / CAST(97 AS DOUBLE) FROM a WHERE asked IS NOT NULL AND n_users > 1
+UNION ALL SELECT 'find-' || conv_id || '-' || turn, 'chunk_utilization', 1 / CAST(n_users - 1 AS DOUBLE) FROM a WHERE asked IS NOT NULL AND n_users > 1""")
 def quality_semantic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """With the static scorer: which spans get which semantic metric."""
-    context = quality.with_semantic(fixtures.spans_from_conversations(spark, sf_dir), quality.StaticScorer())
+    """With a scorer whose values follow from the texts' lengths: which spans get which semantic metric, and whose."""
+    context = quality.with_semantic(fixtures.spans_from_conversations(spark, sf_dir), _LengthScorer())
     rows = compiler.emit(context, [spec for spec in declared.of_lens("quality") if spec.metric not in _MECHANICAL])
     return rows.select("span_id", "metric", "value")
 
@@ -464,9 +479,10 @@ def answers_by_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.answers_by_trace(fixtures.spans_from_conversations(spark, sf_dir))
 
 
-@register("split_sentences")
+@register("split_sentences", r"""SELECT doc_id, array_to_string(list_filter([trim(p) FOR p IN regexp_split_to_array(regexp_replace(text, '([.!?])[ \t\n\x0B\f\r]+', '\1' || chr(10), 'g'), '\n+')], lambda p: length(p) >= 3)[1:10], chr(10)) AS sentences FROM documents""")
 def split_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fixtures.table(spark, sf_dir, "documents").select("doc_id", quality.split_sentences("text").alias("sentences"))
+    """Joined by line ends, which no sentence holds."""
+    return fixtures.table(spark, sf_dir, "documents").select("doc_id", F.array_join(quality.split_sentences("text"), "\n").alias("sentences"))
 
 
 _STUB = safety.KeywordClassifier({"ignore": 0.4, "override": 0.9}, {"idiot": 0.9, "moron": 0.9, "scum": 0.9, "trash": 0.5})
@@ -507,9 +523,11 @@ def eval_auroc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluation.auroc(_judged(spark, sf_dir)).select(F.round("auroc", 9).alias("auroc"))
 
 
-@register("eval_auprc")
+@register("eval_auprc", f"""{_JUDGED}, s AS (SELECT score, count(*) FILTER (WHERE label = 1) AS good, count(*) AS n FROM j GROUP BY score),
+c AS (SELECT good, CAST(sum(good) OVER (ORDER BY score DESC) AS DOUBLE) AS tp, CAST(sum(n) OVER (ORDER BY score DESC) AS DOUBLE) AS seen FROM s)
+SELECT round(sum(good * tp / seen) / CAST(sum(good) AS DOUBLE), 9) AS auprc FROM c""")
 def eval_auprc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return evaluation.auprc(_judged(spark, sf_dir))
+    return evaluation.auprc(_judged(spark, sf_dir)).select(F.round("auprc", 9).alias("auprc"))
 
 
 @register("eval_best_threshold", f"""{_JUDGED}, g AS (SELECT unnest(range(0, 101)) AS step), s AS (SELECT step, sum(CASE WHEN floor(score * 100 + 1e-9) >= step AND label = 1 THEN 1 ELSE 0 END) AS tp, sum(CASE WHEN floor(score * 100 + 1e-9) >= step AND label <> 1 THEN 1 ELSE 0 END) AS fp,
@@ -551,9 +569,12 @@ def verify_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _cells(spark, sf_dir).groupBy("state").agg(F.count("*").alias("n"))
 
 
-@register("silent_metrics", f"""{SPANS}, m AS (SELECT 'retry_count' AS metric, {METRIC_SQL["retry_count"][0].replace(" AND ok_md", "")} AS applies, ok_md FROM u UNION ALL SELECT 'records_processed', {METRIC_SQL["records_processed"][0].replace(" AND ok_md", "")}, ok_md FROM u)
-SELECT metric, count(*) FILTER (WHERE NOT ok_md) AS skipped FROM m WHERE applies GROUP BY metric""")
+_SILENT = [(spec.metric, *METRIC_SQL[spec.metric]) for spec in declared.of_lens("performance") if spec.per_span]
+
+
+@register("silent_metrics", f"""{SPANS}, m AS ({" UNION ALL ".join(f"SELECT '{name}' AS metric, count(*) FILTER (WHERE ({applies.split(' AND ')[0]}) AND NOT ({applies})) AS skipped FROM u" for name, applies, _ in _SILENT)})
+SELECT metric, skipped FROM m ORDER BY skipped DESC, metric LIMIT 10""")
 def silent_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The metrics that most often apply to a span but have no value there: ten at most."""
+    """The ten metrics of the performance lens that most often apply to a span but have no value there."""
     context = compiler.with_performance(fixtures.spans_from_events(spark, sf_dir))
-    return compiler.skipped(context, [spec for spec in declared.SPECS if spec.metric in ("retry_count", "records_processed")]).limit(10)
+    return compiler.skipped(context, declared.of_lens("performance")).limit(10)

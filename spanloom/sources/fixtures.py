@@ -29,6 +29,7 @@ def spans_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.element_at(F.array(*(F.lit(name) for name in _TYPES)), (k % 9 + 1).cast("int"))
     rows = rows.withColumn("span_type", kind).withColumn("ended_at", F.timestamp_micros(F.unix_micros("started_at") + F.col("micros")))
     stamp = lambda shift: F.date_format(F.timestamp_micros(F.unix_micros("started_at") + shift * 1000), "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    data = F.col("span_type").isin("validation", "skill_exec")  # whose metadata holds a record, errors and constraints
     usage = F.struct((100 + k).alias("input_tokens"), (10 * k).alias("output_tokens"), k.alias("cached_tokens"), (k % 7).alias("reasoning_tokens"))
     good = F.to_json(F.struct(
         usage.alias("usage"), (k % 4).alias("retry_count"), (k * 5).alias("retry_delay_ms"), (k % 2 == 0).alias("rate_limit_hit"), k.alias("rate_limit_wait_ms"),
@@ -36,7 +37,11 @@ def spans_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         stamp(k).alias("first_token_at"), stamp(-2 * k).alias("enqueued_at"), stamp(-k).alias("scheduled_at"),
         F.when(k % 3 > 0, F.lit("search")).otherwise(F.lit(" ")).alias("tool"), F.struct(k.alias("q")).alias("request"),
         F.when(k % 5 > 0, F.to_json(F.struct(k.alias("r")))).alias("response"),
-        F.when(k % 4 > 0, F.concat(F.lit('{"a": '), k.cast("string"), F.lit("}"))).otherwise(F.lit("plain words")).alias("output"),
+        F.when(data & (k % 4 == 2), F.to_json(F.struct(k.alias("a"), F.slice(F.array(F.lit("late"), F.lit("wrong")), F.lit(1), k % 3).alias("errors"))))
+        .when(k % 4 > 0, F.concat(F.lit('{"a": '), k.cast("string"), F.lit("}"))).otherwise(F.lit("plain words")).alias("output"),
+        F.when(data, F.to_json(F.struct(k.alias("a"), F.when(k % 2 == 0, "x").otherwise("").alias("b"), F.lit("y").alias("c"), F.lit("z").alias("d")))).alias("input"),
+        F.when(data & (k % 5 == 0), F.struct(F.lit(9).alias("max_chars"), F.lit("plain").alias("not_contains"), F.lit(None).cast("string").alias("tone")))
+        .when(data & (k % 5 == 1), F.struct(F.lit(None).cast("int").alias("max_chars"), F.lit(None).cast("string").alias("not_contains"), F.lit("kind").alias("tone"))).alias("constraints"),
         (k % 2 == 1).alias("valid"),
     ))
     deep = ~F.col("span_type").isin("solution", "workflow", "agent")

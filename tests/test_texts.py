@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from spanloom.operators import entities, evaluation, quality, risk, safety
 from spanloom.operators.entities import Entity, detect
+from spanloom.sources import fixtures
 
 
 def types(text, **more):
@@ -198,3 +199,19 @@ def test_addresses_in_linear_time():
     began = time.perf_counter()
     assert found("a." * 250_000) == []
     assert time.perf_counter() - began < 20
+
+
+def test_analysers_only_see_spans_whose_toggles_ask_for_them(spark, sf):
+    keys = "scope string, solution_id string, endpoint string, workflow_id string, agent_id string, component_id string, metric string"
+    on = lambda metric, component="model_gpt4o": spark.createDataFrame([("component", "sol_0", "", "", "", component, metric)], keys)
+    spans = fixtures.spans_from_conversations(spark, sf)
+    scored = lambda active: quality.with_semantic(spans, quality.StaticScorer(), active=active).agg(F.count("*"), F.count("faithfulness"), F.count("context_relevance")).first()
+    n, made, found = scored(None)
+    assert n == spans.count() and made and found
+    assert tuple(scored(on("coherence"))) == (n, made, 0)
+    assert tuple(scored(on("context_relevance", "kb_product_docs"))) == (n, 0, found)
+    assert tuple(scored(on("latency"))) == (n, 0, 0)
+    documents, stub = fixtures.spans_from_documents(spark, sf), safety.KeywordClassifier({}, {"the": 0.9, "idiot": 0.9})
+    flagged = lambda active: safety.with_safety(documents, classifier=stub, active=active).agg(F.count("*"), F.sum("toxicity_detected")).first()
+    n, toxic = flagged(None)
+    assert toxic > 0 and tuple(flagged(on("pii_detected"))) == (n, toxic) and tuple(flagged(on("latency"))) == (n, 0)

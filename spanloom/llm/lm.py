@@ -41,8 +41,8 @@ HEAD_WORDS = 1 << 18
 LEAST_COUNT = 4
 #: Bytes of text in a chunk, about.
 CHUNK = 20_000_000
-#: Codes that are merged at once. (A block has at most 256 texts, as an Arrow batch has.)
-_PENDING = 1 << 20
+#: Codes that are gathered before they are merged. (A block has at most 256 texts, as an Arrow batch has.)
+_PENDING = 1 << 22
 _BUCKET_BITS = 12
 #: Words that a task gathers before it hands them on.
 _HELD = 400_000
@@ -56,11 +56,13 @@ def word_counts(texts: DataFrame) -> DataFrame:
         codes, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         out = lambda: pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), pa.nulls(len(held), pa.int64()), pa.array(list(held.values()), pa.int64())], ["word", "code", "count"])
         for batch in batches:
-            tokens = [suffixtree.tokens_of(text) for text in batch.column(0).to_pylist()]
-            own, n = suffixtree.counted(suffixtree.codes_of(tokens)[0] & np.uint64(0xFFFFFF))
+            if not len(batch):
+                continue
+            block = suffixtree.block_of([suffixtree.tokens_of(text) for text in batch.column(0).to_pylist()])
+            own, n = suffixtree.counted(suffixtree.codes_of_block(block)[0] & np.uint64(0xFFFFFF))
             codes, counts = suffixtree.counted(np.concatenate([codes, own]), np.concatenate([counts, n]))
-            for one in tokens:
-                held.update(one)
+            words, numbers, _, _ = suffixtree.words_of_block(block)
+            held.update({word: n for word, n in zip(words, np.bincount(numbers, minlength=len(words)).tolist()) if n})
             if len(held) >= _HELD:
                 yield out()
                 held.clear()
@@ -93,42 +95,42 @@ def _blocks(docs: DataFrame, chunks: int) -> DataFrame:
 
         part, press = TaskContext.get().partitionId(), zstandard.ZstdCompressor(level=3)
         for number, batch in enumerate(batches):
-            lines = [b" ".join(suffixtree.tokens_of(text)) for text in batch.column("text").to_pylist()]
+            block = suffixtree.block_of([suffixtree.tokens_of(text) for text in batch.column("text").to_pylist()])
             chunk = int.from_bytes(blake2b(f"{part}:{number}".encode(), digest_size=7).digest(), "big") % chunks
             lists = [pa.ListArray.from_arrays(pa.array([0, len(batch)], pa.int32()), batch.column(name)) for name in ("doc_id", "learnt")]
             if len(batch):
-                yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), *lists, pa.array([press.compress(bytes([suffixtree.END]).join(lines))], pa.binary())], ["chunk", "doc_ids", "learnt", "block"])
+                yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), *lists, pa.array([press.compress(block)], pa.binary())], ["chunk", "doc_ids", "learnt", "block"])
 
     return common.by_batches(docs.select("doc_id", "text", "learnt"), work, "chunk long, doc_ids array<long>, learnt array<boolean>, block binary")
 
 
-def _tokens(chunk: pa.Table) -> Iterator[tuple[list[int | None], list[bool], list[list[bytes]]]]:
-    """doc ids, whether they are learnt from, and tokens of each block."""
+def _lines(chunk: pa.Table) -> Iterator[tuple[list[int | None], list[bool], bytes]]:
+    """doc ids, whether they are learnt from, and the texts of each block."""
     import zstandard
 
     press = zstandard.ZstdDecompressor()
     for row in range(len(chunk)):
-        lines = press.decompress(chunk.column("block")[row].as_py()).split(bytes([suffixtree.END]))
-        yield chunk.column("doc_ids")[row].as_py(), chunk.column("learnt")[row].as_py(), [line.split() for line in lines]
+        yield chunk.column("doc_ids")[row].as_py(), chunk.column("learnt")[row].as_py(), press.decompress(chunk.column("block")[row].as_py())
 
 
 class _Merged:
-    """Distinct codes and their counts, merged as they come, so that little more than the distinct ones is held."""
+    """Distinct codes and how often they are learnt, merged as they come, so that little more than the distinct ones is held."""
 
     def __init__(self) -> None:
-        self.codes, self.counts, self.pending = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0
+        self.codes, self.counts, self.pending, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), [], 0
 
-    def add(self, codes: np.ndarray, counts: np.ndarray) -> None:
-        self.codes.append(codes)
-        self.counts.append(counts)
-        self.pending += len(codes)
-        if self.pending > max(_PENDING, len(self.codes[0])):
+    def add(self, codes: np.ndarray, learnt: np.ndarray) -> None:
+        self.pending.append((codes << np.uint64(1)) | learnt)  # codes have 56 bits
+        self.size += len(codes)
+        if self.size > _PENDING:
             self.all()
 
     def all(self) -> tuple[np.ndarray, np.ndarray]:
-        codes, counts = suffixtree.counted(np.concatenate(self.codes), np.concatenate(self.counts))
-        self.codes, self.counts, self.pending = [codes], [counts], 0
-        return codes, counts
+        marked, n = suffixtree.counted(np.concatenate([*self.pending, np.zeros(0, np.uint64)]))
+        n[(marked & np.uint64(1)) == 0] = 0
+        self.codes, self.counts = suffixtree.counted(np.concatenate([self.codes, marked >> np.uint64(1)]), np.concatenate([self.counts, n]))
+        self.pending, self.size = [], 0
+        return self.codes, self.counts
 
 
 def _packed(codes: np.ndarray) -> bytes:
@@ -145,11 +147,9 @@ def _unpacked(data: bytes) -> np.ndarray:
 def _gather(chunk: pa.Table) -> pa.Table:
     """chunk, bucket, codes, counts of a chunk of texts: all its codes, counted where they are learnt from."""
     merged = _Merged()
-    for _, learnt, tokens in _tokens(chunk):
-        for flag in (True, False):
-            some = [one for one, known in zip(tokens, learnt) if known == flag]
-            codes, n = suffixtree.counted(suffixtree.turned(suffixtree.codes_of(some)[0]))
-            merged.add(codes, n if flag else np.zeros(len(n), np.int64))
+    for _, learnt, block in _lines(chunk):
+        codes, starts = suffixtree.codes_of_block(block)
+        merged.add(suffixtree.turned(codes), np.repeat(np.array(learnt, np.uint64), np.diff(starts)))
     codes, n = merged.all()
     counts = n.astype(np.uint32)
     buckets = codes >> np.uint64(56 - _BUCKET_BITS)
@@ -257,30 +257,28 @@ def score(docs: DataFrame, training: Column) -> DataFrame:
     def work(chunk: pa.Table, found: pa.Table) -> pa.Table:
         head, tree = shared.value
         out, blocks, codes, pending = [], [], [np.zeros(0, np.uint64)], 0
-        for ids, _, tokens in _tokens(chunk):
-            known, logs, tails = [], [], []
-            for one in tokens:
-                found_logs = list(map(head.get, one))
-                unknown = found_logs.count(None)
-                tails.append(Counter([word for word, value in zip(one, found_logs) if value is None]) if unknown else {})
-                known.append(len(found_logs) - unknown)
-                logs.append(sum(filter(None, found_logs)))
-            ends_at = np.zeros(len(tokens) + 1, np.int32)
-            np.cumsum([len(tail) for tail in tails], out=ends_at[1:])
-            words = pa.array([word for tail in tails for word in tail], pa.binary())
-            times = pa.array([n for tail in tails for n in tail.values()], pa.int64())
-            out.append([pa.array(ids, pa.int64()), pa.array([len(one) for one in tokens], pa.int64()), pa.array(known, pa.int64()), pa.array(logs, pa.float64()), pa.ListArray.from_arrays(ends_at, words), pa.ListArray.from_arrays(ends_at, times)])
-            found_codes, starts = suffixtree.codes_of(tokens)
-            numbers = np.repeat(np.arange(len(tokens), dtype=np.uint64), np.diff(starts))
+        for ids, _, block in _lines(chunk):
+            words, numbers, texts, n = suffixtree.words_of_block(block)
+            values = np.array([head.get(word, np.nan) for word in words], np.float64)[numbers]
+            missing = np.isnan(values)
+            total = np.bincount(texts, minlength=n)
+            known = total - np.bincount(texts[missing], minlength=n)
+            logs = np.bincount(texts, np.where(missing, 0.0, values), n)
+            tails, times = suffixtree.counted((texts[missing].astype(np.uint64) << np.uint64(32)) | numbers[missing].astype(np.uint64))
+            bounds = np.searchsorted(tails, np.arange(n + 1, dtype=np.uint64) << np.uint64(32)).astype(np.int32)
+            tail_words = pa.array([words[number] for number in (tails & np.uint64(0xFFFFFFFF)).tolist()], pa.binary())
+            out.append([pa.array(ids, pa.int64()), pa.array(total), pa.array(known), pa.array(logs), pa.ListArray.from_arrays(bounds, tail_words), pa.ListArray.from_arrays(bounds, pa.array(times))])
+            found_codes, starts = suffixtree.codes_of_block(block)
+            numbers = np.repeat(np.arange(n, dtype=np.uint64), np.diff(starts))
             pairs = np.sort((suffixtree.turned(found_codes) << np.uint64(8)) | numbers)  # codes have 56 bits, a block's texts 8
             ordered = pairs >> np.uint64(8)
             first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
             own = ordered[first]
-            blocks.append((own, np.diff(first, append=len(pairs)).astype(np.int32), pairs.astype(np.uint8), len(tokens)))
+            blocks.append((own, np.diff(first, append=len(pairs)).astype(np.int32), pairs.astype(np.uint8), n))
             codes, pending = [*codes, own], pending + len(own)
             if pending > _PENDING:
-                codes, pending = [np.unique(np.concatenate(codes))], 0
-        codes = np.unique(np.concatenate(codes))
+                codes, pending = [suffixtree.distinct(np.concatenate(codes))], 0
+        codes = suffixtree.distinct(np.concatenate(codes))
         values = np.frombuffer(b"".join(found.sort_by("bucket").column("logs").to_pylist()), np.float32).astype(np.float64)
         if len(values) != len(codes):
             raise ValueError("the rows of docs changed their order between two readings: docs must be a stored table")

@@ -38,21 +38,50 @@ def tokens_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "replace").lower().split()
 
 
-def codes_of(tokens: Sequence[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
-    """For every byte of the texts, the DEPTH bytes before it and itself as one number; and where each text starts."""
-    pad = bytes([END]) * DEPTH
-    parts = [pad + b" ".join(one) + bytes([END]) for one in tokens]
-    starts = np.zeros(len(parts) + 1, np.int64)
-    np.cumsum([len(part) for part in parts], out=starts[1:])
-    data = np.frombuffer(b"".join(parts), np.uint8)
-    size = max(0, len(data) - DEPTH)
-    codes = np.zeros(size, np.uint64)
-    for k in range(DEPTH + 1):
-        codes = (codes << np.uint64(8)) | data[k : k + size]
-    real = np.ones(len(data), bool)
+def block_of(tokens: Sequence[list[bytes]]) -> bytes:
+    """The texts in lines, END between them."""
+    return bytes([END]).join([b" ".join(one) for one in tokens])
+
+
+def codes_of_block(block: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """For every byte of a block's texts, the DEPTH bytes before it and itself as one number; and where each text starts."""
+    end = bytes([END])
+    data = np.frombuffer(end * DEPTH + block.replace(end, end * (DEPTH + 1)) + end, np.uint8)
+    size = len(data) - DEPTH
+    pairs = (data[:-1].astype(np.uint64) << np.uint64(8)) | data[1:]
+    fours = (pairs[:-2] << np.uint64(16)) | pairs[2:]
+    codes = (fours[:size] << np.uint64(24)) | (fours[3 : 3 + size] & np.uint64(0xFFFFFF))
+    ends = np.flatnonzero(np.frombuffer(block, np.uint8) == END)
+    starts = np.concatenate([[0], ends + 1, [len(block) + 1]])
+    real = np.ones(size, bool)
     for k in range(DEPTH):
-        real[starts[:-1] + k] = False
-    return codes[real[DEPTH:]], starts - DEPTH * np.arange(len(starts))
+        real[starts[1:-1] + DEPTH * np.arange(len(ends)) + k] = False
+    return codes[real], starts
+
+
+def codes_of(tokens: Sequence[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """codes_of_block of texts given by their tokens."""
+    return codes_of_block(block_of(tokens)) if len(tokens) else (np.zeros(0, np.uint64), np.zeros(1, np.int64))
+
+
+def words_of_block(block: bytes) -> tuple[list[bytes], np.ndarray, np.ndarray, int]:
+    """Distinct words of a block; for every word its number among them and its text's number; and the number of texts."""
+    import pyarrow as pa
+
+    data = np.frombuffer(block.replace(bytes([END]), b" ") + b" ", np.uint8)
+    ends = np.flatnonzero(data == 32)
+    last = np.concatenate([np.frombuffer(block, np.uint8) == END, [True]])[ends]
+    offsets = np.concatenate([[0], ends + 1]).astype(np.int64)
+    coded = pa.Array.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(data)]).dictionary_encode()
+    text = np.cumsum(last) - last
+    real = np.diff(offsets) > 1
+    return [word[:-1] for word in coded.dictionary.to_pylist()], coded.indices.to_numpy()[real], text[real], int(last.sum())
+
+
+def distinct(codes: np.ndarray) -> np.ndarray:
+    """Distinct codes in order."""
+    codes = np.sort(codes)
+    return codes[np.concatenate([[True], codes[1:] != codes[:-1]])] if len(codes) else codes
 
 
 def counted(codes: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -61,7 +90,7 @@ def counted(codes: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.nda
         codes = np.sort(codes)
         first = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]])) if len(codes) else np.zeros(0, np.int64)
         return codes[first], np.diff(np.concatenate([first, [len(codes)]])).astype(np.int64)
-    order = np.argsort(codes)
+    order = np.argsort(codes, kind="stable")  # runs that are in order are merged
     codes, counts = codes[order], counts[order]
     first = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]])) if len(codes) else np.zeros(0, np.int64)
     return codes[first], np.add.reduceat(counts, first) if len(first) else counts

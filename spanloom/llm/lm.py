@@ -42,7 +42,7 @@ LEAST_COUNT = 4
 #: Bytes of text in a chunk, about.
 CHUNK = 20_000_000
 #: Codes that are gathered before they are merged. (A block has at most 256 texts, as an Arrow batch has.)
-_PENDING = 1 << 22
+_PENDING = 1 << 20
 _BUCKET_BITS = 12
 #: Words that a task gathers before it hands them on.
 _HELD = 400_000

@@ -29,6 +29,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,11 +44,25 @@ LEAST_COUNT = 4
 CHUNK = 20_000_000
 #: Codes that are gathered before they are merged. (A block has at most 256 texts, as an Arrow batch has.)
 _PENDING = 1 << 20
+#: Bytes of text in a block, but for a single longer text.
+BLOCK = 2 << 20
 _BUCKET_BITS = 12
 #: Words that a task gathers before it hands them on.
 _HELD = 400_000
 
 
+def _whole(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
+    """A batch in runs of rows of about BLOCK bytes of text."""
+    first = size = 0
+    for row, n in enumerate(pc.binary_length(batch.column(text)).fill_null(0).to_pylist()):
+        if size and size + n > BLOCK:
+            yield batch.slice(first, row - first)
+            first, size = row, 0
+        size += n
+    if len(batch) > first:
+        yield batch.slice(first)
+
+
 def word_counts(texts: DataFrame) -> DataFrame:
     """word (binary), code, count of the texts (one column): either a word, without the end token, or the code of two bytes and the next one."""
 
@@ -55,9 +70,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
         held: Counter[bytes] = Counter()
         codes, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         out = lambda: pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), pa.nulls(len(held), pa.int64()), pa.array(list(held.values()), pa.int64())], ["word", "code", "count"])
-        for batch in batches:
-            if not len(batch):
-                continue
+        for batch in (part for batch in batches for part in _whole(batch, batch.schema.names[0])):
             block = suffixtree.block_of([suffixtree.tokens_of(text) for text in batch.column(0).to_pylist()])
             own, n = suffixtree.counted(suffixtree.codes_of_block(block)[0] & np.uint64(0xFFFFFF))
             codes, counts = suffixtree.counted(np.concatenate([codes, own]), np.concatenate([counts, n]))
@@ -94,12 +107,11 @@ def _blocks(docs: DataFrame, chunks: int) -> DataFrame:
         import zstandard
 
         part, press = TaskContext.get().partitionId(), zstandard.ZstdCompressor(level=3)
-        for number, batch in enumerate(batches):
+        for number, batch in enumerate(part for batch in batches for part in _whole(batch, "text")):
             block = suffixtree.block_of([suffixtree.tokens_of(text) for text in batch.column("text").to_pylist()])
             chunk = int.from_bytes(blake2b(f"{part}:{number}".encode(), digest_size=7).digest(), "big") % chunks
             lists = [pa.ListArray.from_arrays(pa.array([0, len(batch)], pa.int32()), batch.column(name)) for name in ("doc_id", "learnt")]
-            if len(batch):
-                yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), *lists, pa.array([press.compress(block)], pa.binary())], ["chunk", "doc_ids", "learnt", "block"])
+            yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), *lists, pa.array([press.compress(block)], pa.binary())], ["chunk", "doc_ids", "learnt", "block"])
 
     return common.by_batches(docs.select("doc_id", "text", "learnt"), work, "chunk long, doc_ids array<long>, learnt array<boolean>, block binary")
 

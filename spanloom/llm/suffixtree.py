@@ -31,6 +31,8 @@ _SYMBOLS = 256
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 _CACHE_BITS = 22
+#: Bytes whose codes are made at once, so that what is between fits a cache.
+_PIECE = 1 << 15
 
 
 def tokens_of(text: str | None) -> list[bytes]:
@@ -48,9 +50,12 @@ def codes_of_block(block: bytes) -> tuple[np.ndarray, np.ndarray]:
     end = bytes([END])
     data = np.frombuffer(end * DEPTH + block.replace(end, end * (DEPTH + 1)) + end, np.uint8)
     size = len(data) - DEPTH
-    pairs = (data[:-1].astype(np.uint64) << np.uint64(8)) | data[1:]
-    fours = (pairs[:-2] << np.uint64(16)) | pairs[2:]
-    codes = (fours[:size] << np.uint64(24)) | (fours[3 : 3 + size] & np.uint64(0xFFFFFF))
+    codes = np.empty(size, np.uint64)
+    for at in range(0, size, _PIECE):
+        piece = data[at : at + _PIECE + DEPTH].astype(np.uint64)
+        pairs = (piece[:-1] << np.uint64(8)) | piece[1:]
+        fours = (pairs[:-2] << np.uint64(16)) | pairs[2:]
+        codes[at : at + _PIECE] = (fours[:-3] << np.uint64(24)) | (fours[3:] & np.uint64(0xFFFFFF))
     ends = np.flatnonzero(np.frombuffer(block, np.uint8) == END)
     starts = np.concatenate([[0], ends + 1, [len(block) + 1]])
     real = np.ones(size, bool)

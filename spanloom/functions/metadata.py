@@ -46,6 +46,12 @@ def moment(column: Column) -> Column:
     return F.when(column.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}(?:\.[0-9]{1,6})?$"), column.try_cast("timestamp"))
 
 
+def moment_or_fail(column: Column) -> Column:
+    """moment, but any other text that isn't null is an error."""
+    value = moment(column)
+    return F.when(column.isNotNull() & value.isNull(), F.raise_error(F.concat(F.lit("no time: "), column)).cast("timestamp")).otherwise(value)
+
+
 def millis(later: Column, earlier: Column) -> Column:
     """Milliseconds between two times, with fractions; negative if they are the other way round."""
     return (F.unix_micros(later) - F.unix_micros(earlier)) / F.lit(1000.0)

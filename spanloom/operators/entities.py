@@ -118,6 +118,13 @@ class Policy:
         types = settings.get("entities", {})
         return cls(float(settings.get("score_threshold", 0.7)), {k: bool(v.get("enabled", True) if isinstance(v, Mapping) else v) for k, v in types.items()})
 
+    @classmethod
+    def load(cls, path: str | None = None, score_threshold: float | None = None) -> Policy:
+        """From a YAML or JSON file; without one every type counts, from 0.7. A threshold that is given counts instead of the file's."""
+        from spanloom.sources.tables import read_settings
+
+        return cls.of(read_settings(path, None if score_threshold is None else {"score_threshold": score_threshold}))
+
     def takes(self, entity: Entity) -> bool:
         return self.enabled.get(entity.type, True) and entity.score >= self.overrides.get(entity.type, self.score_threshold)
 

@@ -82,11 +82,11 @@ def merge_observations(old: DataFrame, new: DataFrame) -> DataFrame:
 THRESHOLD_KEY = ("metric_name", "scope", *schemas.PATH)
 
 
-def seeded(bound: DataFrame, solutions: DataFrame, catalog: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+def seeded(bound: DataFrame, solutions: DataFrame, catalog: DataFrame, existing: DataFrame | None = None, only: DataFrame | None = None) -> DataFrame:
     """Inactive thresholds for every metric, scope and path that the catalog allows and that existing lacks.
 
     Solutions come from their registry (slug), deeper scopes from bindings; ids
-    below a scope are null.
+    below a scope are null. only: the solutions (solution_id) to seed, all if none is given.
     """
     offered = catalog.select(F.col("lens").alias("category"), "metric_name", F.explode("applicable_scopes").alias("scope"), F.col("default_window").alias("time_window"), F.col("default_operator").alias("operator"))
     null = F.lit(None).cast("string")
@@ -95,6 +95,8 @@ def seeded(bound: DataFrame, solutions: DataFrame, catalog: DataFrame, existing:
         held = schemas.PATH[: depth + 1]
         rows = bound.where(F.col(held[-1]).isNotNull()).select(F.lit(scope).alias("scope"), *held, *(null.alias(name) for name in schemas.PATH[depth + 1 :]))
         paths = paths.union(rows.select("scope", *schemas.PATH))
+    if only is not None:
+        paths = paths.join(only.select("solution_id"), "solution_id", "left_semi").select("scope", *schemas.PATH)
     number = F.lit(None).cast("double")
     rows = paths.distinct().join(F.broadcast(offered), "scope").select(  # the catalog is as long as the list of specs
         "category", "metric_name", "scope", "time_window", "operator", number.alias("warning_value"), number.alias("critical_value"), *schemas.PATH, F.lit(False).alias("is_active"),

@@ -7,6 +7,7 @@ of the text; spans that no toggle needs are dropped by the gate beforehand.
 from __future__ import annotations
 
 import re
+import time
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
@@ -56,6 +57,16 @@ def from_logits(labels: Sequence[str], logits, wanted: Sequence[str]) -> float:
 INJECTION_LABELS, HARMFUL_LABELS = ("inject", "attack", "unsafe", "label_1"), ("toxic", "spam")
 
 
+def classify_text(text: str, classifier: TextClassifier, injection_threshold: float = INJECTION_THRESHOLD, harmful_threshold: float = HARMFUL_THRESHOLD) -> dict:
+    """labels, scores and latency_ms of one text; a blank one is an error."""
+    if not isinstance(text, str) or not text.strip():
+        raise ValueError("text must not be blank")
+    began = time.perf_counter()
+    injection, harmful = classifier.scores([text])[0]
+    labels = [name for name, score, least in (("prompt_injection", injection, injection_threshold), ("harmful_content", harmful, harmful_threshold)) if score >= least]
+    return {"labels": labels, "scores": {"prompt_injection": round(injection, 4), "harmful_content": round(harmful, 4)}, "latency_ms": round((time.perf_counter() - began) * 1000, 2)}
+
+
 def classify(texts: DataFrame, classifier: TextClassifier, text: str = "text") -> DataFrame:
     """Adds injection_score and harmful_score; a blank text scores 0."""
     kept = texts.columns

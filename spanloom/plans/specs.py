@@ -127,6 +127,29 @@ def catalog(spark: SparkSession, specs: Sequence[MetricSpec] = SPECS) -> DataFra
     return spark.createDataFrame(list(rows.values()), schemas.CATALOG)
 
 
+def upserted(old: DataFrame, new: DataFrame) -> DataFrame:
+    """A stored catalog after new rows: those of one metric name are replaced whole, all others stay."""
+    return old.join(new.select("metric_name"), "metric_name", "left_anti").select(old.columns).unionByName(new)
+
+
+def write_catalog(spark: SparkSession, folder: str, specs: Sequence[MetricSpec] = SPECS) -> DataFrame:
+    """Puts the specs' rows into the catalog at folder, a version a call, and gives what is there now.
+
+    The newest version that Spark finished counts, so a write that fails changes nothing.
+    """
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    store = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    store.mkdirs(place)
+    names = sorted(status.getPath().getName() for status in store.listStatus(place))
+    whole = [name for name in names if name.startswith("version=") and store.exists(spark._jvm.org.apache.hadoop.fs.Path(place, f"{name}/_SUCCESS"))]
+    rows = catalog(spark, specs)
+    if whole:
+        rows = upserted(spark.read.schema(schemas.CATALOG).parquet(f"{folder}/{whole[-1]}"), rows)
+    number = int(names[-1][len("version=") :]) + 1 if names else 0
+    rows.write.parquet(f"{folder}/version={number:012d}")
+    return spark.read.schema(schemas.CATALOG).parquet(f"{folder}/version={number:012d}")
+
+
 def dump(spark: SparkSession, specs: Sequence[MetricSpec] = SPECS) -> DataFrame:
     """All specs as rows."""
     rows = [(s.metric, s.lens, s.applies, s.unit, s.window, s.threshold, s.per_span) for s in specs]

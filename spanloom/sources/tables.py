@@ -110,14 +110,18 @@ def whole_files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
 
 
-def jobs_from_text(spark: SparkSession, text: str, schema: str) -> DataFrame:
-    """Scoring jobs from a JSON array, or from JSON lines if the text is none."""
+def read_jobs(text: str) -> list[dict]:
+    """Scoring jobs from a JSON array or object, or from JSON lines if the text is none."""
     try:
         found = json.loads(text)
-        rows = found if isinstance(found, list) else [found]
     except ValueError:
-        rows = [json.loads(line) for line in text.splitlines() if line.strip()]
-    lines = spark.createDataFrame([(json.dumps(row),) for row in rows], "line string")
+        return [json.loads(line) for line in text.splitlines() if line.strip()]
+    return found if isinstance(found, list) else [found]
+
+
+def jobs_from_text(spark: SparkSession, text: str, schema: str) -> DataFrame:
+    """read_jobs as a DataFrame of that schema."""
+    lines = spark.createDataFrame([(json.dumps(row),) for row in read_jobs(text)], "line string")
     return lines.select(F.from_json("line", schema).alias("j")).select("j.*")
 
 

@@ -8,10 +8,10 @@ every piece and of awkward texts before it is used (a difference raises).
 Encoding and decoding take batches, on THREADS threads.
 
 Where no piece of a model crosses the start of a word, a batch's texts are split
-into words and every distinct word is encoded once; otherwise whole texts are
-encoded. All ids are decoded again, which tells the round trip, and one text in
-PARITY_EVERY is encoded and decoded by the sentencepiece library as well. A
-difference is told in the column parity; it ends nothing.
+into words and every distinct word is encoded, and its ids decoded, once;
+otherwise whole texts are. A text makes the round trip if all its words do. Every
+whole text is encoded, and its ids decoded, by the sentencepiece library as well.
+A difference is told in the column parity; it ends nothing.
 
 Null and empty texts have no ids and decode to an empty text. Whole texts are
 encoded, however long. Each row is encoded by itself: repeated rows repeat, an
@@ -26,7 +26,7 @@ import os
 import re
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +38,6 @@ from spanloom.llm import common
 
 MARK = "▁"
 MODEL_FILE = "piece_bpe_32k.model"
-#: One text in so many is also encoded as a whole by the sentencepiece library and compared.
-PARITY_EVERY = 16
 #: Threads of a batch's encoding and decoding, if a task hasn't more cores; distinct words that a worker keeps.
 THREADS = 2
 MAX_WORDS = 150_000
@@ -119,14 +117,15 @@ class Codec:
         self.prefix = MARK if rules.add_dummy_prefix else ""
         self.rules = bool(rules.remove_extra_whitespaces or rules.precompiled_charsmap)
         self.bytes = np.array([piece.type == _BYTE for piece in proto.pieces])
-        #: Bytes of text that a piece stands for, where every piece stands for as many as it has.
-        self.width = np.array([1 if piece.type == _BYTE else len(piece.piece.encode()) for piece in proto.pieces]) if proto.trainer_spec.byte_fallback else None
+        #: Bytes of text that a piece stands for, and how many, where every piece stands for those it has.
+        self.stands = [bytes([int(piece.piece[1:-1], 16)]) if piece.type == _BYTE else piece.piece.encode() for piece in proto.pieces]
+        self.width = np.array(list(map(len, self.stands))) if proto.trainer_spec.byte_fallback else None
         self._forget()
 
     def _forget(self) -> None:
         """Drops the words that were met."""
         self.number: dict[str, int] = {}
-        self.ids, self.starts = np.zeros(0, np.int32), np.zeros(1, np.int64)
+        self.ids, self.starts, self.back = np.zeros(0, np.int32), np.zeros(1, np.int64), np.zeros(0, bool)
 
     def normal(self, text: str) -> str:
         if self.rules:
@@ -140,13 +139,27 @@ class Codec:
     def read(self, normal: str) -> str:
         return normal.removeprefix(self.prefix).replace(MARK, " ")
 
-    def _joined(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of words that begin with the marker and end without, encoded as a few long texts; how many ids each has."""
+    def _words(self, normal: str) -> list[str]:
+        if self.by_words and normal[:1] == MARK and MARK * 2 not in normal and "\0" not in normal:  # the same without a pattern
+            return normal.replace(MARK, "\0" + MARK)[1:].split("\0")
+        return self.split(normal)
+
+    def _joined(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of words that begin with the marker and end without, encoded as a few long texts; how many ids each has; whether they decode to it."""
         step = -(-len(words) // (4 * self.threads)) or 1
         long = ["".join(words[i : i + step]) for i in range(0, len(words), step)]
-        ids = np.fromiter(chain.from_iterable(one.ids for one in self.core.encode_batch_fast(long, add_special_tokens=False)), np.int32)
-        ends = np.searchsorted(np.cumsum(self.width[ids]), np.cumsum([len(word.encode()) for word in words])) + 1
-        return ids, np.diff(ends, prepend=0)
+        ids = np.concatenate([np.array(one.ids, np.int32) for one in self.core.encode_batch_fast(long, add_special_tokens=False)])
+        reach, wanted = np.cumsum(self.width[ids]), np.frombuffer(pa.array(words, pa.large_string()).buffers()[1], np.int64)[1 : len(words) + 1]
+        ends = np.searchsorted(reach, wanted) + 1
+        size = np.diff(ends, prepend=0)
+        stands = b"".join(map(self.stands.__getitem__, ids.tolist())) == "".join(long).encode()
+        if stands and np.array_equal(reach[ends - 1], wanted):  # each word's pieces stand for its bytes, so they decode to it
+            return ids, size, np.ones(len(words), bool)
+        return ids, size, self._back(words, [ids[a:b].tolist() for a, b in zip(ends - size, ends)])
+
+    def _back(self, words: list[str], ids: list[list[int]]) -> np.ndarray:
+        """For each word, whether its ids decode to it."""
+        return np.fromiter((back == self.read(word) for back, word in zip(self.decode(ids), words)), bool)
 
     def _learn(self, words: list[str]) -> None:
         """Encodes words that weren't met before."""
@@ -156,28 +169,33 @@ class Codec:
             known = set(joined)
             other = [word for word in words if word not in known]
             found = [one.ids for one in self.core.encode_batch_fast(other, add_special_tokens=False)]
-            parts.append((np.fromiter(chain.from_iterable(found), np.int32), np.array([len(one) for one in found])))
+            parts.append((np.fromiter(chain.from_iterable(found), np.int32), np.array([len(one) for one in found]), self._back(other, found)))
             joined = joined + other
         self.number.update(zip(joined, range(len(self.number), len(self.number) + len(joined))))
-        self.ids = np.concatenate([self.ids, *(ids for ids, _ in parts)])
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(np.concatenate([size for _, size in parts]))])
+        self.ids = np.concatenate([self.ids, *(ids for ids, _, _ in parts)])
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(np.concatenate([size for _, size, _ in parts]))])
+        self.back = np.concatenate([self.back, *(back for _, _, back in parts)])
 
-    def encoded(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the texts, and where each text's ids begin (and the last's end)."""
+    def encoded(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All ids of the texts; where each text's ids begin (and the last's end); for each text, whether its ids decode to it."""
         if len(self.number) > MAX_WORDS:
             self._forget()
-        lists = [self.split(self.normal(text)) for text in texts]
+        lists = [self._words(self.normal(text)) for text in texts]
         words = list(chain.from_iterable(lists))
-        if new := [word for word in dict.fromkeys(words) if word not in self.number]:
-            self._learn(new)
-        numbers = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        numbers = np.fromiter(map(self.number.get, words, repeat(-1)), np.int64, len(words))
+        if len(new := np.flatnonzero(numbers < 0)):
+            unmet = [words[i] for i in new.tolist()]
+            self._learn(list(dict.fromkeys(unmet)))
+            numbers[new] = np.fromiter(map(self.number.__getitem__, unmet), np.int64, len(unmet))
         first, size = self.starts[numbers], np.diff(self.starts)[numbers]
         ends = np.concatenate([[0], np.cumsum(size)])
         flat = self.ids[np.repeat(first - ends[:-1], size) + np.arange(ends[-1])]
-        return flat, ends[np.concatenate([[0], np.cumsum([len(one) for one in lists])]).astype(np.int64)]
+        places = np.concatenate([[0], np.cumsum([len(one) for one in lists])]).astype(np.int64)
+        wrong = np.concatenate([[0], np.cumsum(~self.back[numbers])])
+        return flat, ends[places], wrong[places[1:]] == wrong[places[:-1]]
 
     def encode(self, texts: Sequence[str]) -> list[list[int]]:
-        flat, places = self.encoded(texts)
+        flat, places, _ = self.encoded(texts)
         return [flat[a:b].tolist() for a, b in zip(places[:-1], places[1:])]
 
     def decode(self, ids: Sequence[Sequence[int]]) -> list[str]:
@@ -215,8 +233,8 @@ def encode(docs: DataFrame, path: str | None = None, text: str = "text", threads
 
     round_trip: decoding the ids gives the text again, with the marker character
     read as a blank and the model's white-space rules applied (null: an empty
-    text). parity: the sentencepiece library gave the same ids and text, where
-    it was asked (see above). Columns of these names are replaced.
+    text). parity: the sentencepiece library gave the same ids for the whole
+    text, and the text for the ids. Columns of these names are replaced.
     """
     added = ["token_ids", "n_tokens", "n_byte_tokens", "round_trip", "parity"]
     kept = [name for name in docs.columns if name.lower() not in added]
@@ -226,16 +244,11 @@ def encode(docs: DataFrame, path: str | None = None, text: str = "text", threads
     shared = context.broadcast(load(path or common.tokenizer_file(MODEL_FILE)))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec, seen = _codec(*shared.value, threads), 0
+        codec = _codec(*shared.value, threads)
         for batch in batches:
             texts = [one or "" for one in batch.column(batch.schema.get_field_index(text)).to_pylist()]
-            flat, ends = codec.encoded(texts)
-            ids = [flat[a:b].tolist() for a, b in zip(ends[:-1], ends[1:])]
-            back = [a == b for a, b in zip(codec.decode(ids), map(codec.plain, texts))]
-            same = np.ones(len(texts), bool)
-            asked = list(range(-seen % PARITY_EVERY, len(texts), PARITY_EVERY))
-            same[asked] = codec.agrees([texts[i] for i in asked], [ids[i] for i in asked])
-            seen += len(texts)
+            flat, ends, back = codec.encoded(texts)
+            same = codec.agrees(texts, [flat[a:b].tolist() for a, b in zip(ends[:-1], ends[1:])])
             wide = np.concatenate([[0], np.cumsum(codec.bytes[flat])])
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.ListArray.from_arrays(ends.astype(np.int32), flat), pa.array(np.diff(ends)), pa.array(wide[ends[1:]] - wide[ends[:-1]], pa.int64()), pa.array(back, pa.bool_()), pa.array(same)],

@@ -1,3 +1,5 @@
+import json
+
 import pytest
 import sentencepiece
 from sentencepiece import sentencepiece_model_pb2 as pb
@@ -62,6 +64,35 @@ def test_a_difference_is_told(spark, sf, codec, monkeypatch):
         codec.probe()
 
 
+def without(rebuilt, piece):
+    """The rebuilt model without the merges that make a piece: texts of this piece get other ids, which decode as before."""
+    parts = json.loads(rebuilt)
+    parts["model"]["merges"] = [pair for pair in parts["model"]["merges"] if "".join(pair) != piece]
+    return json.dumps(parts)
+
+
+def test_every_text_is_compared(spark, monkeypatch):
+    model, rebuilt = pieces.load(common.tokenizer_file(pieces.MODEL_FILE))
+    monkeypatch.setattr(pieces, "load", lambda path: (model, without(rebuilt, "▁the")))
+    frame = spark.createDataFrame([(i, "see the end" if i % 5 == 3 else "a b") for i in range(40)], "doc_id long, text string").coalesce(1)
+    assert {r.doc_id: r.parity for r in pieces.encode(frame).collect()} == {i: i % 5 != 3 for i in range(40)}
+
+
+def test_round_trip_of_every_word(codec):
+    texts = ["one two", "", "two  three", "one é", "a▁b ▁ ", "x\u0000y z"]
+    assert codec.encoded(texts)[2].tolist() == [True] * 6
+    other = pieces.Codec(*pieces.load(common.tokenizer_file(pieces.MODEL_FILE)))
+    other.stands[codec.encode(["two"])[0][0]] = b"other"  # so words are decoded one by one
+    other.decode = lambda ids: ["" if back == "two" else back for back in codec.decode(ids)]
+    assert other.encoded(texts)[2].tolist() == [False, True, False, True, True, True]
+    assert other.encoded(texts[::-1])[2].tolist() == [True, True, True, False, True, False]
+
+
+def test_splitting_into_words(codec):
+    for text in ("a b", " a", "a ", "a  b", "▁", "a\u0000 b", "é 😀 x", ""):
+        assert codec._words(codec.normal(text)) == codec.split(codec.normal(text))
+
+
 def test_unsupported_models():
     proto = pb.ModelProto()
     proto.ParseFromString(unigram(False, False))

@@ -2,6 +2,7 @@ import corpus_pipeline
 from spanloom.llm import common, neardup, pieces, secrets, toxicity
 from tests.llm import odd
 from tests.llm.test_decontamination import naive
+from tests.llm.test_pieces import without
 
 
 def test_stages_against_brute_force(spark, sf, tmp_path):
@@ -45,3 +46,10 @@ def test_odd_documents(spark, sf):
     assert sum(r.text is None for r in rows) == 1 and sum(r.text == "" for r in rows) == 1 and [r.doc_id for r in rows].count(1) == 1
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, odd.empty(spark), sf).count() == 0
+
+
+def test_every_text_is_compared(spark, sf, monkeypatch):
+    model, rebuilt = pieces.load(common.tokenizer_file(pieces.MODEL_FILE))
+    monkeypatch.setattr(pieces, "load", lambda path: (model, without(rebuilt, "▁the")))
+    docs = spark.createDataFrame([(i, "see the end" if i % 5 == 3 else "a b", "en", "a", 3) for i in range(40)], odd.SCHEMA).coalesce(1)
+    assert {r.doc_id: r.parity for r in corpus_pipeline.encode(spark, docs, sf).collect()} == {i: i % 5 != 3 for i in range(40)}

@@ -100,7 +100,7 @@ class _Bags:
             codes = [(owner.astype(np.int64) << BUCKET_BITS) | ids for ids, owner in grams(some)]
             codes, counts = np.unique(np.concatenate(codes or [np.zeros(0, np.int64)]), return_counts=True)
             ends = np.searchsorted(codes, np.arange(len(some) + 1) << BUCKET_BITS)
-            self.chunks.append(((codes & ((1 << BUCKET_BITS) - 1)).astype(np.int32), counts.astype(np.int32), ends))
+            self.chunks.append(((codes & ((1 << BUCKET_BITS) - 1)).astype(np.int32), counts.astype(np.min_scalar_type(counts.max(initial=0))), ends))
             self.size += len(some)
 
     def __getitem__(self, i: int) -> tuple[np.ndarray, np.ndarray]:
@@ -113,7 +113,7 @@ class _Bags:
         for k, (ids, counts, ends) in enumerate(self.chunks):
             known = weight[ids] > 0
             ends = np.concatenate([[0], np.cumsum(known)])[ends]
-            ids, part = ids[known], weight[ids[known]] * counts[known]
+            ids, part = ids[known], weight[ids[known]] * counts[known].astype(np.int32)
             owner = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
             total = np.bincount(owner, part, len(ends) - 1)
             self.chunks[k] = place[ids], (part / total[owner]).astype(np.float32), ends

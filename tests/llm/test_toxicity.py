@@ -34,6 +34,13 @@ def test_scores_depend_on_the_text_alone():
     assert ((together >= 0) & (together <= 1)).all()
 
 
+def test_bags_are_small_and_whole():
+    texts = [" ".join(f"word{i}x{k}" for k in range(300)) for i in range(40)] + ["", None]
+    bags = toxicity._Bags(texts)
+    assert sum(counts.nbytes for _, counts, _ in bags.chunks) <= 2 * sum(len(counts) for _, counts, _ in bags.chunks)
+    assert sum(int(counts.sum()) for _, counts, _ in bags.chunks) == sum(len(ids) for ids, _ in toxicity.grams(texts))
+
+
 def test_frames(spark):
     docs = odd.docs(spark)
     labels = spark.createDataFrame([(1, 1, 0), (1, 1, 1), (5, 0, 0), (None, 1, 1), (3, None, None), (99, 1, 1)], "doc_id long, quality int, toxic int")

@@ -33,7 +33,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_benchmark_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Contaminated documents go; others lose the words that occur in a benchmark window."""
+    """Contaminated documents go; others lose the words that occur in a benchmark window, until none is left."""
     return _measured(decontamination.decontaminate(docs, common.table(spark, sf_dir, "benchmark")))
 
 

@@ -7,8 +7,9 @@ entropy of the window comes from character counts that are updated by one
 character leaving and one entering. Windows over the class's threshold are joined to
 spans, unless the allow-list knows half of the window's characters or more: it
 is asked for the parts between separators, so a harmless word beside a secret
-doesn't hide it. A window needs two digits and two letters; keys of letters
-alone are not told from words.
+doesn't hide it. Only windows that share no character with a format rule's span
+count, so such a span doesn't hide what stands beside it either. A window needs
+two digits and two letters; keys of letters alone are not told from words.
 
 Spans are (kind, start, end) in code points, end exclusive. A null text has no
 spans, like an empty one; an empty table gives no rows. Rows are scanned one by
@@ -21,9 +22,7 @@ from __future__ import annotations
 
 import math
 import re
-from bisect import bisect_left
-from collections.abc import Callable, Iterator
-from itertools import accumulate
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -70,11 +69,15 @@ def harmless(candidate: str) -> list[tuple[int, int]]:
     return found + [m.span() for m in _PART.finditer(candidate) if _PLAIN.fullmatch(part := m.group()) or _PLACEHOLDER.search(part)]
 
 
-def entropy_spans(candidate: str, classes: tuple[EntropyClass, ...] = CLASSES, allowed: Callable[[str], list[tuple[int, int]]] | None = harmless) -> list[tuple[int, int]]:
-    """Stretches of the candidate that windows of high entropy cover, joined where they touch."""
+def entropy_spans(
+    candidate: str, classes: tuple[EntropyClass, ...] = CLASSES, allowed: Callable[[str], list[tuple[int, int]]] | None = harmless, taken: Iterable[tuple[int, int]] = ()
+) -> list[tuple[int, int]]:
+    """Stretches of the candidate that windows of high entropy, free of taken stretches, cover, joined where they touch."""
     known = bytearray(len(candidate))
     for start, end in allowed(candidate) if allowed else ():
         known[start:end] = b"\1" * (end - start)
+    for start, end in taken:
+        known[start:end] = b"\xff" * (end - start)  # more than any window may hold
     if all(known[a:b].find(0) < 0 for a, b in map(re.Match.span, _PART.finditer(candidate))):
         return []
     found: list[tuple[int, int]] = []
@@ -116,11 +119,18 @@ def entropy_spans(candidate: str, classes: tuple[EntropyClass, ...] = CLASSES, a
     return joined
 
 
-def find(text: str | None) -> list[tuple[int, int, int]]:
-    """Spans (start, end, index in KINDS) of a text, by start, then kind. The first three kinds are the format rules."""
+def find(text: str | None, retry: bool = False) -> list[tuple[int, int, int]]:
+    """Spans (start, end, index in KINDS) of a text, by start, then kind. The first three kinds are the format rules.
+
+    With retry, assignments that begin in one whose value is too short are found
+    as well, which the format rule doesn't look at again: `secret: token: ...`.
+    """
     if not text:
         return []
-    assigned = [(m.start(), m.end(), 0) for m in _ASSIGN.finditer(text) if m.end(1) - m.start(1) >= 6]
+    met = list(_ASSIGN.finditer(text))
+    if retry:
+        met += [again for m in met if m.end(1) - m.start(1) < 6 and (again := _ASSIGN.match(text, m.start(1)))]
+    assigned = sorted((m.start(), m.end(), 0) for m in met if m.end(1) - m.start(1) >= 6)
     spans, first = list(assigned), 0
     for run in _RUN.finditer(text):
         candidate, at = run.group(), run.start()
@@ -132,11 +142,8 @@ def find(text: str | None) -> list[tuple[int, int, int]]:
         last = first
         while last < len(assigned) and assigned[last][0] < run.end():
             last += 1
-        covered = sorted(known + assigned[first:last])
-        starts, reach = [a for a, _, _ in covered], [0, *accumulate((b for _, b, _ in covered), max)]
-        for start, end in entropy_spans(candidate):
-            if reach[bisect_left(starts, at + end)] <= at + start:
-                spans.append((at + start, at + end, 3))
+        taken = [(max(a, at) - at, min(b, run.end()) - at) for a, b, _ in known + assigned[first:last] if b > at]
+        spans += [(at + start, at + end, 3) for start, end in entropy_spans(candidate, taken=taken)]
     return sorted(spans, key=lambda span: (span[0], span[2]))
 
 
@@ -170,14 +177,14 @@ def blot(text: str, spans: list[tuple[int, int]], mask: str) -> str:
 
 
 def redact(docs: DataFrame, text: str = "text", mask: str = "[SECRET]") -> DataFrame:
-    """The docs with every secret in their texts masked; null texts stay null, texts without secrets stay as they are."""
+    """The docs with every secret in their texts masked, those that only a retry finds, too; null texts stay null, texts without secrets stay as they are."""
     names = docs.columns
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             k = batch.schema.get_field_index(text)
             texts = batch.column(k).to_pylist()
-            new = [one if one is None or not (found := find(one)) else blot(one, [(a, b) for a, b, _ in found], mask) for one in texts]
+            new = [one if one is None or not (found := find(one, retry=True)) else blot(one, [(a, b) for a, b, _ in found], mask) for one in texts]
             yield pa.RecordBatch.from_arrays([pa.array(new, pa.string()) if i == k else column for i, column in enumerate(batch.columns)], names)
 
     return common.by_batches(docs, work, docs.schema)

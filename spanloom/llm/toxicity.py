@@ -73,7 +73,7 @@ def grams(texts: Sequence[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]
     for n in NGRAMS:
         size = len(data) - n + 1
         if size <= 0:
-            return
+            break
         for k in range(done, n):
             code = (code[: len(data) - k] << np.uint64(8)) | data[k:]
         done = n

@@ -79,3 +79,15 @@ def test_query(spark, sf):
     oracle.same(oracle.connection(sf), d.ORACLE_SQL, d.op2_decontamination(spark, sf))
     row = d.op2_decontamination(spark, sf).where("n_items = 0").first()
     assert row.items_sha256 == hashlib.sha256(b"").hexdigest()
+
+
+def test_removal_leaves_no_window_over_a_seam(spark):
+    item, many = ITEM.split()[:13], "filler " * 900
+    once = " ".join([*item[:5], ITEM, *item[5:]])
+    nested = " ".join([*item[:7], *item[:2], *item[:11], *item, *item[11:], *item[2:], *item[7:]])
+    rows = [(20, f"{many}{once} end", "en", "a", 1), (21, f"{many}{nested} end", "en", "a", 1), (22, f"{many}a short Short item item end", "en", "a", 1), (23, many, "en", "a", 1), (24, None, "en", "a", 1)]
+    got = d.decontaminate(spark.createDataFrame(rows, odd.SCHEMA), bench(spark).where("item_id IN (1, 2)")).collect()
+    kept, items = {r.doc_id: r.text for r in got}, [one for one in ITEMS if one[0] in (1, 2)]
+    assert len(got) == len(rows) and all(naive(text, items)[1] == 0 for text in kept.values())
+    assert [kept[i].split() for i in (20, 21, 22)] == [[*many.split(), *end] for end in (["end"], ["end"], ["a", "end"])]
+    assert kept[23] == many and kept[24] is None

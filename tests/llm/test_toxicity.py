@@ -58,3 +58,10 @@ def test_held_out_rows(spark, sf):
     truth = {r.doc_id: r.toxic for r in common.table(spark, larger, "labels").collect()}
     rows = [r for r in toxicity.op7_toxicity(spark, larger).where("held_out").collect() if r.doc_id in truth]
     assert auc(np.array([truth[r.doc_id] for r in rows]), np.array([r.score for r in rows])) > 0.9
+
+
+def test_short_texts_have_the_same_grams_alone():
+    for text in ("", "a", "hi", "a b", "four", "seven 7"):
+        alone = [set(ids.tolist()) for ids, _ in toxicity.grams([text])]
+        beside = [set(ids[owner == 0].tolist()) for ids, owner in toxicity.grams([text, "a much longer text"])]
+        assert set().union(*alone) == set().union(*beside), text

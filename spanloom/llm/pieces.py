@@ -9,9 +9,10 @@ Encoding and decoding take batches, on THREADS threads.
 
 Where no piece of a model crosses the start of a word, a batch's texts are split
 into words and every distinct word is encoded, and its ids decoded, once;
-otherwise whole texts are. A text makes the round trip if all its words do. Every
-whole text is encoded, and its ids decoded, by the sentencepiece library as well.
-A difference is told in the column parity; it ends nothing.
+otherwise whole texts are. A worker keeps the words that most batches had. A text
+makes the round trip if all its words do. Every whole text is encoded, and its
+ids decoded, by the sentencepiece library as well. A difference is told in the
+column parity; it ends nothing.
 
 Null and empty texts have no ids and decode to an empty text. Whole texts are
 encoded, however long. Each row is encoded by itself: repeated rows repeat, an
@@ -30,6 +31,7 @@ from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -96,6 +98,10 @@ def rebuild(model: bytes) -> str:
     return tokenizer.to_str()
 
 
+def _keys(words: pa.Array) -> list[bytes]:
+    return words.cast(pa.large_binary()).to_numpy(zero_copy_only=False).tolist()
+
+
 class Codec:
     """Encodes and decodes batches of texts with a rebuilt model, and compares with the sentencepiece library."""
 
@@ -120,12 +126,18 @@ class Codec:
         #: Bytes of text that a piece stands for, and how many, where every piece stands for those it has.
         self.stands = [bytes([int(piece.piece[1:-1], 16)]) if piece.type == _BYTE else piece.piece.encode() for piece in proto.pieces]
         self.width = np.array(list(map(len, self.stands))) if proto.trainer_spec.byte_fallback else None
-        self._forget()
-
-    def _forget(self) -> None:
-        """Drops the words that were met."""
-        self.number: dict[str, int] = {}
-        self.ids, self.starts, self.back = np.zeros(0, np.int32), np.zeros(1, np.int64), np.zeros(0, bool)
+        #: Words that were met: their numbers, where their ids begin, whether these decode to them, how many batches had them.
+        self.number: dict[bytes, int] = {}
+        self.ids, self.starts, self.back, self.met = np.zeros(0, np.int32), np.zeros(1, np.int64), np.zeros(0, bool), np.zeros(0, np.int64)
+
+    def _thin(self) -> None:
+        """Keeps the half of the words that most batches had, in their order, and halves how many those were."""
+        kept = np.sort(np.argsort(-self.met, kind="stable")[: len(self.met) // 2])
+        words, size = list(self.number), np.diff(self.starts)
+        self.ids = self.ids[np.repeat(np.isin(np.arange(len(words)), kept), size)]
+        self.starts = np.concatenate([[0], np.cumsum(size[kept])])
+        self.back, self.met = self.back[kept], self.met[kept] // 2
+        self.number = {words[i]: place for place, i in enumerate(kept.tolist())}
 
     def normal(self, text: str) -> str:
         if self.rules:
@@ -134,63 +146,84 @@ class Codec:
 
     def plain(self, text: str) -> str:
         """The text as a round trip gives it: normalised by the model's rules, markers read as blanks."""
-        return self.read(self.normal(text))
+        return self.read(self.normal(text)) if self.rules else text.replace(MARK, " ")
 
     def read(self, normal: str) -> str:
         return normal.removeprefix(self.prefix).replace(MARK, " ")
 
-    def _words(self, normal: str) -> list[str]:
-        if self.by_words and normal[:1] == MARK and MARK * 2 not in normal and "\0" not in normal:  # the same without a pattern
-            return normal.replace(MARK, "\0" + MARK)[1:].split("\0")
-        return self.split(normal)
+    def _cut(self, normal: str) -> str:
+        """The words of a text without NUL, joined by NUL."""
+        if self.by_words and normal[:1] == MARK and MARK * 2 not in normal:  # the same without a pattern
+            return normal.replace(MARK, "\0" + MARK)[1:]
+        return "\0".join(self.split(normal))
 
-    def _joined(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _words(self, normal: str) -> list[str]:
+        return self._cut(normal).split("\0") if normal and "\0" not in normal else self.split(normal)
+
+    def _parts(self, normals: Sequence[str]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """The distinct words of texts; for each word of each text, its place among them; how many words each text has."""
+        if any("\0" in one for one in normals):
+            lists = pa.array([self._words(one) for one in normals], pa.large_list(pa.large_string()))
+        else:
+            lists = pc.split_pattern(pa.array([self._cut(one) or None for one in normals], pa.large_string()), "\0")
+        coded = lists.flatten().dictionary_encode()
+        return coded.dictionary, coded.indices.to_numpy(), lists.value_lengths().fill_null(0).to_numpy()
+
+    def _joined(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of words that begin with the marker and end without, encoded as a few long texts; how many ids each has; whether they decode to it."""
-        step = -(-len(words) // (4 * self.threads)) or 1
-        long = ["".join(words[i : i + step]) for i in range(0, len(words), step)]
+        wanted = np.cumsum(pc.binary_length(words).to_numpy())
+        begins = int(np.frombuffer(words.buffers()[1], np.int64)[words.offset])
+        whole = words.buffers()[2].slice(begins, int(wanted[-1])).to_pybytes()
+        step = -(-len(words) // (4 * self.threads))
+        cuts = [0, *wanted[step - 1 : -1 : step].tolist(), len(whole)]
+        long = [whole[a:b].decode() for a, b in zip(cuts, cuts[1:])]
         ids = np.concatenate([np.array(one.ids, np.int32) for one in self.core.encode_batch_fast(long, add_special_tokens=False)])
-        reach, wanted = np.cumsum(self.width[ids]), np.frombuffer(pa.array(words, pa.large_string()).buffers()[1], np.int64)[1 : len(words) + 1]
+        reach = np.cumsum(self.width[ids])
         ends = np.searchsorted(reach, wanted) + 1
         size = np.diff(ends, prepend=0)
-        stands = b"".join(map(self.stands.__getitem__, ids.tolist())) == "".join(long).encode()
-        if stands and np.array_equal(reach[ends - 1], wanted):  # each word's pieces stand for its bytes, so they decode to it
+        if b"".join(map(self.stands.__getitem__, ids.tolist())) == whole and np.array_equal(reach[ends - 1], wanted):  # each word's pieces stand for its bytes, so they decode to it
             return ids, size, np.ones(len(words), bool)
-        return ids, size, self._back(words, [ids[a:b].tolist() for a, b in zip(ends - size, ends)])
+        return ids, size, self._back(words.to_pylist(), [ids[a:b].tolist() for a, b in zip(ends - size, ends)])
 
     def _back(self, words: list[str], ids: list[list[int]]) -> np.ndarray:
         """For each word, whether its ids decode to it."""
         return np.fromiter((back == self.read(word) for back, word in zip(self.decode(ids), words)), bool)
 
-    def _learn(self, words: list[str]) -> None:
-        """Encodes words that weren't met before."""
-        joined = [word for word in words if word[0] == MARK and word[-1] != MARK] if self.by_words and self.width is not None else []
-        parts = [self._joined(joined)] if joined else []
-        if len(joined) < len(words):
-            known = set(joined)
-            other = [word for word in words if word not in known]
+    def _learn(self, words: pa.Array) -> np.ndarray:
+        """Encodes words that weren't met before; gives their numbers."""
+        plain = np.zeros(len(words), bool)
+        if self.by_words and self.width is not None:
+            plain = pc.and_not(pc.starts_with(words, MARK), pc.ends_with(words, MARK)).to_numpy(zero_copy_only=False)
+        order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
+        numbers = np.empty(len(words), np.int64)
+        numbers[order] = np.arange(len(self.number), len(self.number) + len(words))
+        words = words if plain.all() else words.take(pa.array(order))
+        parts = [self._joined(words[: int(plain.sum())])] if plain.any() else []
+        if not plain.all():
+            other = words[int(plain.sum()) :].to_pylist()
             found = [one.ids for one in self.core.encode_batch_fast(other, add_special_tokens=False)]
             parts.append((np.fromiter(chain.from_iterable(found), np.int32), np.array([len(one) for one in found]), self._back(other, found)))
-            joined = joined + other
-        self.number.update(zip(joined, range(len(self.number), len(self.number) + len(joined))))
+        self.number.update(zip(_keys(words), range(len(self.number), len(self.number) + len(words))))
         self.ids = np.concatenate([self.ids, *(ids for ids, _, _ in parts)])
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(np.concatenate([size for _, size, _ in parts]))])
         self.back = np.concatenate([self.back, *(back for _, _, back in parts)])
+        self.met = np.concatenate([self.met, np.zeros(len(words), np.int64)])
+        return numbers
 
     def encoded(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """All ids of the texts; where each text's ids begin (and the last's end); for each text, whether its ids decode to it."""
         if len(self.number) > MAX_WORDS:
-            self._forget()
-        lists = [self._words(self.normal(text)) for text in texts]
-        words = list(chain.from_iterable(lists))
-        numbers = np.fromiter(map(self.number.get, words, repeat(-1)), np.int64, len(words))
-        if len(new := np.flatnonzero(numbers < 0)):
-            unmet = [words[i] for i in new.tolist()]
-            self._learn(list(dict.fromkeys(unmet)))
-            numbers[new] = np.fromiter(map(self.number.__getitem__, unmet), np.int64, len(unmet))
+            self._thin()
+        words, which, many = self._parts([self.normal(text) for text in texts])
+        known = np.fromiter(map(self.number.get, _keys(words), repeat(-1)), np.int64, len(words))
+        if len(new := np.flatnonzero(known < 0)):
+            known[new] = self._learn(words.take(pa.array(new)))
+        self.met[known] += 1
+        numbers = known[which]
         first, size = self.starts[numbers], np.diff(self.starts)[numbers]
         ends = np.concatenate([[0], np.cumsum(size)])
         flat = self.ids[np.repeat(first - ends[:-1], size) + np.arange(ends[-1])]
-        places = np.concatenate([[0], np.cumsum([len(one) for one in lists])]).astype(np.int64)
+        places = np.concatenate([[0], np.cumsum(many, dtype=np.int64)])
         wrong = np.concatenate([[0], np.cumsum(~self.back[numbers])])
         return flat, ends[places], wrong[places[1:]] == wrong[places[:-1]]
 
@@ -203,8 +236,9 @@ class Codec:
 
     def agrees(self, texts: Sequence[str], ids: Sequence[Sequence[int]]) -> list[bool]:
         """For each text, whether the sentencepiece library gives these ids, and for the ids the text."""
-        told = zip(self.reference.encode(list(texts), num_threads=1), ids, self.reference.decode([list(one) for one in ids], num_threads=1), texts)
-        return [expected == list(got) and back == self.plain(text) for expected, got, back, text in told]
+        expected = (self.reference.encode(text, return_type="numpy") for text in texts)  # one at a time, which holds and costs less than a batch
+        back = self.reference.decode([np.asarray(one, np.int32) for one in ids], num_threads=1)
+        return [np.array_equal(want, got) and one == self.plain(text) for want, got, one, text in zip(expected, ids, back, texts)]
 
     def probe(self) -> None:
         texts = [*_PROBES, *(self.reference.id_to_piece(i).replace(MARK, " ") for i in range(self.reference.get_piece_size()))]
@@ -248,10 +282,10 @@ def encode(docs: DataFrame, path: str | None = None, text: str = "text", threads
         for batch in batches:
             texts = [one or "" for one in batch.column(batch.schema.get_field_index(text)).to_pylist()]
             flat, ends, back = codec.encoded(texts)
-            same = codec.agrees(texts, [flat[a:b].tolist() for a, b in zip(ends[:-1], ends[1:])])
+            same = codec.agrees(texts, [flat[a:b] for a, b in zip(ends[:-1], ends[1:])])
             wide = np.concatenate([[0], np.cumsum(codec.bytes[flat])])
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.ListArray.from_arrays(ends.astype(np.int32), flat), pa.array(np.diff(ends)), pa.array(wide[ends[1:]] - wide[ends[:-1]], pa.int64()), pa.array(back, pa.bool_()), pa.array(same)],
+                [*batch.columns, pa.ListArray.from_arrays(ends.astype(np.int32), flat), pa.array(np.diff(ends)), pa.array(wide[ends[1:]] - wide[ends[:-1]], pa.int64()), pa.array(back, pa.bool_()), pa.array(same, pa.bool_())],
                 [*kept, *added],
             )
 

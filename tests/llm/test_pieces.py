@@ -57,6 +57,30 @@ def test_words_that_are_met_again_and_forgotten(codec, monkeypatch):
         assert codec.encode(some) == codec.reference.encode(some)
 
 
+def test_frequent_words_are_kept(codec, monkeypatch):
+    monkeypatch.setattr(pieces, "MAX_WORDS", 40)
+    own, asked = pieces.Codec(*pieces.load(common.tokenizer_file(pieces.MODEL_FILE))), []
+
+    class Core:
+        def encode_batch_fast(self, texts, **how):
+            asked.extend("".join(texts).split(pieces.MARK))
+            return codec.core.encode_batch_fast(texts, **how)
+
+    own.core = Core()
+    for i in range(30):
+        texts = ["the end of it", "", " ".join(f"w{i}x{k}" for k in range(9)) + " the", "é end"]
+        assert own.encode(texts) == own.reference.encode(texts)
+    assert len(own.number) < 60 and [asked.count(word) for word in ("the", "end", "of", "it", "é", "w3x3")] == [1] * 6
+
+
+def test_odd_texts_in_a_batch(codec):
+    texts = ["", "a\u0000b \u0000", "▁ x", "  two  ", "x\u0000", "é é ▁▁", "the the"]
+    for some in (texts, texts[:1], texts[2:4] + texts[5:], texts[::-1], [], ["", ""]):
+        flat, ends, back = codec.encoded(some)
+        ids = [flat[a:b] for a, b in zip(ends[:-1], ends[1:])]
+        assert [one.tolist() for one in ids] == codec.reference.encode(some) and back.all() and codec.agrees(some, ids) == [True] * len(some)
+
+
 def test_a_difference_is_told(spark, sf, codec, monkeypatch):
     assert codec.agrees(["ab", "ab"], [codec.encode(["ab"])[0], [1, 2]]) == [True, False]
     with pytest.raises(ValueError, match="differs"):
